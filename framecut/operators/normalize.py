@@ -80,12 +80,17 @@ def split_valid(det: DataFrame) -> tuple[DataFrame, DataFrame]:
     return det.where(ok), det.where(~ok | ok.isNull())
 
 
-def normalize(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame,
-              videos: DataFrame) -> DataFrame:
-    """The narrow, valid detections of known videos."""
+def normalize(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame) -> DataFrame:
+    """The narrow, valid detections.
+
+    Detections of videos missing from the video table are dropped later, where
+    it is cheapest: the per-video clip jobs join the video attributes (inner)
+    once per clip, and the scene job checks the videos on the per-label screen
+    times before ranking across videos.  So the raw detections are never
+    shuffled for this check."""
     narrow = label_detections(unify_sources(det), labels)
     valid, _ = split_valid(narrow)
-    return known_videos(valid, videos)
+    return valid
 
 
 def enrich(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame, videos: DataFrame,

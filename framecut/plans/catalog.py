@@ -59,7 +59,13 @@ def _inputs(spark, sf):
 
 def _narrow(spark, sf):
     inp = _inputs(spark, sf)
-    return N.normalize(inp.detections, inp.labels, inp.videos)
+    return N.normalize(inp.detections, inp.labels)
+
+
+def _known(df, spark, sf):
+    """Keep rows of videos present in the video table (checked on the
+    operator's output, which is smaller than its input)."""
+    return N.known_videos(df, fixtures.videos(spark, sf))
 
 
 def _enriched(spark, sf):
@@ -90,12 +96,13 @@ def detections_known_types(spark, sf):
 
 def pad_intervals(spark, sf):
     p = Params()
-    return pad(_narrow(spark, sf), p.pad_ms).select("video_id", "class3_name", "detection_id", B, E)
+    return _known(pad(_narrow(spark, sf), p.pad_ms), spark, sf).select(
+        "video_id", "class3_name", "detection_id", B, E)
 
 
 def _merge(gap, pad_ms, reach):
     def q(spark, sf):
-        return merge_same_label(_narrow(spark, sf), gap_ms=gap, pad_ms=pad_ms, reach=reach)
+        return _known(merge_same_label(_narrow(spark, sf), gap_ms=gap, pad_ms=pad_ms, reach=reach), spark, sf)
     return q
 
 
@@ -119,7 +126,7 @@ def _touching(spark, sf):
 
 
 def segments(spark, sf):
-    seg = segment(_touching(spark, sf))
+    seg = _known(segment(_touching(spark, sf)), spark, sf)
     lab = F.array_sort(F.collect_list(F.struct("class3_name", "detection_id")))
     return seg.groupBy("video_id", "frag_b", "frag_e").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_active"),
@@ -127,7 +134,7 @@ def segments(spark, sf):
 
 
 def segment_labels(spark, sf):
-    return segment(_touching(spark, sf)).select("video_id", "frag_b", "frag_e", "class3_name",
+    return _known(segment(_touching(spark, sf)), spark, sf).select("video_id", "frag_b", "frag_e", "class3_name",
                                                 "detection_id", "ad_seat_img")
 
 
@@ -136,15 +143,15 @@ def _near(spark, sf, reach):
 
 
 def sessions_last(spark, sf):
-    return session_summary(assign_sessions(_near(spark, sf, "last"), Params().gap_ms, "last"))
+    return _known(session_summary(assign_sessions(_near(spark, sf, "last"), Params().gap_ms, "last")), spark, sf)
 
 
 def sessions_max(spark, sf):
-    return session_summary(assign_sessions(_near(spark, sf, "max"), Params().gap_ms, "max"))
+    return _known(session_summary(assign_sessions(_near(spark, sf, "max"), Params().gap_ms, "max")), spark, sf)
 
 
 def sessions_window(spark, sf):
-    return session_window_summary(_near(spark, sf, "max"), Params().gap_ms)
+    return _known(session_window_summary(_near(spark, sf, "max"), Params().gap_ms), spark, sf)
 
 
 def _multi(version):
@@ -155,13 +162,14 @@ def _multi(version):
 
 def scene_containment(spark, sf):
     inp = _inputs(spark, sf)
-    pairs = contained_in_scenes(N.normalize(inp.detections, inp.labels, inp.videos), inp.scenes)
+    pairs = N.known_videos(contained_in_scenes(N.normalize(inp.detections, inp.labels), inp.scenes), inp.videos)
     return pairs.select("video_id", "story_start", "story_end", "detection_id", "class3_name", B, E)
 
 
 def _screen(spark, sf):
     inp = _inputs(spark, sf)
-    return screen_time(contained_in_scenes(N.normalize(inp.detections, inp.labels, inp.videos), inp.scenes))
+    return N.known_videos(screen_time(contained_in_scenes(N.normalize(inp.detections, inp.labels), inp.scenes)),
+                          inp.videos)
 
 
 def scene_screen_time(spark, sf):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from framecut.operators import documents as D
 from framecut.operators.merge import merge_same_label, pad
-from framecut.operators.normalize import for_videos, normalize
+from framecut.operators.normalize import for_videos, known_videos, normalize
 from framecut.operators.scenes import contained_in_scenes, fold_scene, screen_time, top_labels
 from framecut.operators.sessions import START, assign_sessions
 from framecut.params import Params
@@ -23,7 +23,7 @@ B, E = "ad_seat_b_time", "ad_seat_e_time"
 
 
 def detections(inp: Inputs, video_ids: DataFrame | None = None) -> DataFrame:
-    det = normalize(inp.detections, inp.labels, inp.videos)
+    det = normalize(inp.detections, inp.labels)
     return for_videos(det, video_ids) if video_ids is not None else det
 
 
@@ -49,7 +49,8 @@ def multi_clusters(det: DataFrame, p: Params = Params()) -> DataFrame:
 
 def scene_folds(inp: Inputs, det: DataFrame, p: Params = Params()) -> DataFrame:
     pairs = contained_in_scenes(det, inp.scenes, p.bucket_ms)
-    return fold_scene(top_labels(screen_time(pairs), p.top_k, p.scope))
+    st = known_videos(screen_time(pairs), inp.videos)
+    return fold_scene(top_labels(st, p.top_k, p.scope))
 
 
 def clips_single(inp: Inputs, p: Params = Params(), typed: bool = False,

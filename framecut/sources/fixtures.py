@@ -80,7 +80,11 @@ def detection_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def labels(spark: SparkSession) -> DataFrame:
-    return label_scan(spark.createDataFrame(LABEL_ROWS, schemas.LABEL))
+    """The label dimension as an inline table: a local relation whose size
+    Spark knows, so the join with the detections broadcasts it."""
+    rows = ", ".join(f"({cid}, '{t}', '{c1}', '{c2}')" for cid, t, c1, c2 in LABEL_ROWS)
+    cols = ", ".join(f.name for f in schemas.LABEL.fields)
+    return label_scan(spark.sql(f"SELECT * FROM VALUES {rows} AS t({cols})"))
 
 
 def videos(spark: SparkSession, sf_dir: str) -> DataFrame:

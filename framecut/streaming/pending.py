@@ -2,15 +2,24 @@
 
 A round takes the videos whose task is pending, computes their clips with
 the batch jobs, writes the documents (with a stable ``clip_id``, so a
-repeated round adds nothing) and then marks every pending video of the
+repeated round adds nothing) and only then marks every pending video of the
 round done, also those that produced no clip.
+
+``pending_stream`` runs rounds with Structured Streaming: the task table is
+a file stream of task rows, each micro-batch is one round (``foreachBatch``),
+and the stream's checkpoint records which task files were handled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framecut import schemas
+from framecut.params import Params
+from framecut.sources.sinks import append_new
+from framecut.sources.tables import Inputs, pending_tasks
+
 
 def mark_processed(tasks: DataFrame, processed: DataFrame) -> DataFrame:
     """The task table after a round: status 1 for every
@@ -19,3 +28,37 @@ def mark_processed(tasks: DataFrame, processed: DataFrame) -> DataFrame:
     t = tasks.join(done, "video_id", "left")
     return t.select("video_id", F.when(F.col("_done"), F.lit(1)).otherwise(F.col("status"))
                     .cast("int").alias("status"))
+
+
+def run_round(inp: Inputs, docs_path: str, tasks_out: str, p: Params = Params(),
+              fmt: str = "parquet") -> int:
+    """One round over ``inp.tasks``: write the new clips of all pending
+    videos, then the task table with those videos marked done (written to
+    ``tasks_out``, a new version; the caller swaps it in).  Returns the number
+    of documents written."""
+    from framecut.plans.jobs import clips_all
+    ids = pending_tasks(inp.tasks).select("video_id")
+    obs = append_new(clips_all(inp, p, video_ids=ids), docs_path, fmt)
+    mark_processed(inp.tasks, ids).write.mode("overwrite").parquet(tasks_out)
+    return int(obs.get.get("documents", 0))
+
+
+def pending_stream(spark: SparkSession, inp: Inputs, task_dir: str, docs_path: str,
+                   checkpoint: str, p: Params = Params(), trigger: dict | None = None,
+                   fmt: str = "parquet"):
+    """A streaming query over new task files in ``task_dir`` (rows
+    ``video_id, status``); every micro-batch computes and appends the clips of
+    its pending videos.  ``trigger`` defaults to ``availableNow`` (process
+    what is there, then stop); use ``{"processingTime": "5 seconds"}`` to keep
+    polling like the reference loop."""
+    from framecut.plans.jobs import clips_all
+    tasks = spark.readStream.schema(schemas.TASK).parquet(task_dir)
+
+    def round_(batch: DataFrame, epoch: int) -> None:
+        ids = pending_tasks(batch).select("video_id").distinct()
+        append_new(clips_all(inp, p, video_ids=ids), docs_path, fmt)
+
+    return (tasks.writeStream.foreachBatch(round_)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start())

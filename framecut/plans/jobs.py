@@ -47,10 +47,22 @@ def multi_clusters(det: DataFrame, p: Params = Params()) -> DataFrame:
     return cl.where(F.col(E) - F.col(B) >= p.min_clip_ms).drop(START)
 
 
-def scene_folds(inp: Inputs, det: DataFrame, p: Params = Params()) -> DataFrame:
+def scene_folds(inp: Inputs, det: DataFrame, p: Params = Params(),
+                video_ids: DataFrame | None = None) -> DataFrame:
+    """J5 -> A4 -> W1/W2 -> A6.  ``det`` must be all detections when
+    ``p.scope='scene'``: the ranking then compares all videos that share the
+    scene bounds, so a video restriction is applied to the ranked rows, and a
+    clip of a video is the same whether it is computed alone or in a batch."""
     pairs = contained_in_scenes(det, inp.scenes, p.bucket_ms)
     st = known_videos(screen_time(pairs), inp.videos)
-    return fold_scene(top_labels(st, p.top_k, p.scope))
+    top = top_labels(st, p.top_k, p.scope)
+    if video_ids is not None:
+        top = for_videos(top, video_ids)
+    return fold_scene(top)
+
+
+def _scene_detections(inp: Inputs, p: Params, video_ids: DataFrame | None) -> DataFrame:
+    return detections(inp, None if p.scope == "scene" else video_ids)
 
 
 def clips_single(inp: Inputs, p: Params = Params(), typed: bool = False,
@@ -68,8 +80,9 @@ def clips_multi(inp: Inputs, p: Params = Params(), version: int = 2,
 def clips_scene(inp: Inputs, p: Params = Params(), tagged: bool = False,
                 video_ids: DataFrame | None = None) -> DataFrame:
     """Q7 (D6) and the scene part of Q8 (D7).  Unlike the reference, a video
-    restriction applies to the scene part as well."""
-    return D.scene_documents(scene_folds(inp, detections(inp, video_ids), p), inp.videos, tagged)
+    restriction applies to the scene part as well (to its output)."""
+    folds = scene_folds(inp, _scene_detections(inp, p, video_ids), p, video_ids)
+    return D.scene_documents(folds, inp.videos, tagged)
 
 
 def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | None = None) -> DataFrame:
@@ -79,7 +92,8 @@ def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | None = N
     det = detections(inp, video_ids)
     single = D.single_documents(single_clips(det, p), inp.videos, typed=True)
     multi = D.multi_documents(multi_clusters(det, p), inp.videos, version=3)
-    scene = D.scene_documents(scene_folds(inp, det, p), inp.videos, tagged=True)
+    scene_det = det if video_ids is None or p.scope != "scene" else detections(inp)
+    scene = D.scene_documents(scene_folds(inp, scene_det, p, video_ids), inp.videos, tagged=True)
     parts = [D.with_clip_id(single, "single"), D.with_clip_id(multi, "multi"),
              D.with_clip_id(scene, "scene")]
     out = None

@@ -10,6 +10,13 @@ bucket holds at most ``width`` rows however many copies the input has.
 
 All functions need the group keys to be non-null and the rows to be unique
 on ``keys + [t]``.
+
+The windowed rows are read twice (for the rows and for the bucket
+summaries); Catalyst prunes the two reads differently, so without a cut the
+whole upstream plan would run twice, and twice again for every nested use.
+``fan_out`` therefore materialises them once with a reliable checkpoint in
+the session's checkpoint folder (``spark.checkpoint.dir``), which keeps the
+hash partitioning on (group, bucket), so neither read shuffles again.
 """
 
 from __future__ import annotations
@@ -22,6 +29,13 @@ from pyspark.sql import functions as F
 BK = "_bk"
 
 
+def fan_out(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once for several consumers (reliable checkpoint)."""
+    from framecut.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def bucket_of(t: str | Column, width: int) -> Column:
     c = F.col(t) if isinstance(t, str) else t
     return F.floor(c / F.lit(width)).cast("bigint")
@@ -52,7 +66,7 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
     # local break: decided inside the bucket; the first row of a bucket is a
     # candidate that the carry from earlier buckets confirms or not
     d = d.withColumn("_lbrk", F.col("_prev").isNull() | (tc - F.col("_prev") > gap))
-    d = d.withColumn("_lhead", F.max(F.when(F.col("_lbrk"), tc)).over(upto_here))
+    d = fan_out(d.withColumn("_lhead", F.max(F.when(F.col("_lbrk"), tc)).over(upto_here)))
 
     wb = Window.partitionBy(*keys).orderBy(BK)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
@@ -107,7 +121,7 @@ def with_next(df: DataFrame, keys: Sequence[str], t: str, width: int, out: str =
     keys = list(keys)
     d = df.withColumn(BK, bucket_of(t, width))
     w = Window.partitionBy(*keys, BK).orderBy(t)
-    d = d.withColumn("_lnext", F.lead(t).over(w))
+    d = fan_out(d.withColumn("_lnext", F.lead(t).over(w)))
     wb = Window.partitionBy(*keys).orderBy(BK)
     s = (d.groupBy(*keys, BK).agg(F.min(t).alias("_first"))
          .withColumn("_nfirst", F.lead("_first").over(wb))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecut import params as P
+from framecut.functions.intervals import duration, range_label
+from framecut.functions.lists import field, label_to_image, sorted_members, typed
 from framecut.operators.normalize import video_attributes
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
@@ -28,22 +30,10 @@ def member_struct() -> Column:
 
 def collect_members() -> Column:
     """A10: the members of a clip in (begin, detection_id) order."""
-    return F.array_sort(F.collect_list(member_struct()))
+    return sorted_members(member_struct())
 
 
-def _field(members: Column, f: str) -> Column:
-    return F.transform(members, lambda x: x[f])
-
-
-def _typed(members: Column, code: str, f: str = "n") -> Column:
-    return F.transform(F.filter(members, lambda x: x["t"] == F.lit(code)), lambda x: x[f])
-
-
-def _label_to_img(members: Column) -> Column:
-    """Label -> image, the last member of a label wins."""
-    last = F.filter(members, lambda x, i: ~F.exists(F.slice(members, i + 2, F.size(members)),
-                                                   lambda y: y["n"] == x["n"]))
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["n"], x["img"])))
+_field, _typed, _label_to_img = field, typed, label_to_image
 
 
 def _header(b: str, e: str) -> list[Column]:
@@ -53,7 +43,7 @@ def _header(b: str, e: str) -> list[Column]:
         F.col("drama_name").alias("string_drama_name"),
         F.col("drama_type_name").alias("string_drama_type_name"),
         F.col("media_area_name").alias("string_media_area_name"),
-        F.concat_ws("_", F.col(b).cast("string"), F.col(e).cast("string")).alias("string_time"),
+        range_label(b, e).alias("string_time"),
     ]
 
 
@@ -76,7 +66,7 @@ def single_documents(clips: DataFrame, videos: DataFrame, typed: bool = False) -
     c = with_video(clips, videos)
     m = F.col("members")
     cols = _header(B, E) + [
-        (F.col(E) - F.col(B)).cast("string").alias("string_time_long"),
+        duration(B, E).cast("string").alias("string_time_long"),
         _field(m, "n").alias("string_class3_list"),
     ]
     if typed:
@@ -98,7 +88,7 @@ def multi_documents(clusters: DataFrame, videos: DataFrame, version: int = 2) ->
     video_id, begin, end and ``members``."""
     c = with_video(clusters, videos)
     m = F.col("members")
-    cols = _header(B, E) + [(F.col(E) - F.col(B)).cast("string").alias("string_time_long")]
+    cols = _header(B, E) + [duration(B, E).cast("string").alias("string_time_long")]
     if version == 1:
         cols += _typed_lists(m, with_level2_and_img=True)
     elif version in (2, 3):
@@ -118,7 +108,7 @@ def scene_documents(folded: DataFrame, videos: DataFrame, tagged: bool = False)
     c = with_video(folded, videos)
     tags = F.col("tags")
     cols = _header("story_start", "story_end") + [
-        (F.col("story_end") - F.col("story_start")).cast("string").alias("string_long"),
+        duration("story_start", "story_end").cast("string").alias("string_long"),
         F.transform(tags, lambda x: x["n"]).alias("string_class3_list"),
     ]
     cols += [F.transform(F.filter(tags, lambda x: x["t"] == F.lit(code)), lambda x: x["n"])

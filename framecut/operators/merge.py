@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framecut.functions.intervals import padded_begin, padded_end
 from framecut.operators.ordered import islands
 from framecut.params import BUCKET_MS
 
@@ -18,18 +19,7 @@ def pad(df: DataFrame, pad_ms: int, b: str = B, e: str = E) -> DataFrame:
     """Widen by ``pad_ms`` on each side, begin floored at 0."""
     if not pad_ms:
         return df
-    return (df.withColumn(b, F.greatest(F.col(b) - F.lit(pad_ms), F.lit(0).cast("bigint")))
-              .withColumn(e, F.col(e) + F.lit(pad_ms)))
-
-
-def duration(b: str = B, e: str = E):
-    """Length in ms."""
-    return F.col(e) - F.col(b)
-
-
-def range_label(b: str = B, e: str = E):
-    """``"begin_end"``."""
-    return F.concat_ws("_", F.col(b).cast("string"), F.col(e).cast("string"))
+    return df.withColumn(b, padded_begin(b, pad_ms)).withColumn(e, padded_end(e, pad_ms))
 
 
 def merge_same_label(det: DataFrame, gap_ms: int, pad_ms: int = 0, reach: str = "last",

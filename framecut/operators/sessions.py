@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framecut.functions.intervals import gap_interval, media_time
 from framecut.operators.ordered import islands
 from framecut.params import BUCKET_MS
 
@@ -79,8 +80,8 @@ def session_window_summary(m: DataFrame, gap_ms: int, label: str = "class3_name"
     as event time: each row spans [begin, end + gap).  Same output as
     ``session_summary``; Spark merges sessions partially before the shuffle,
     so a hot video is combined map-side."""
-    ts = F.timestamp_millis(F.col(B))
-    gap = F.concat((F.col(E) - F.col(B) + F.lit(gap_ms)).cast("string"), F.lit(" milliseconds"))
+    ts = media_time(B)
+    gap = gap_interval(B, E, gap_ms)
     return (m.withColumn("_ts", ts)
             .groupBy("video_id", F.session_window("_ts", gap).alias("_sw"))
             .agg(F.min(B).alias("cluster_b"), F.max(E).alias("cluster_e"),

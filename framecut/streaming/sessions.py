@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framecut.functions.intervals import gap_interval, media_time
 from framecut.params import GAP_MS
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
@@ -21,8 +22,8 @@ def stream_sessions(det: DataFrame, gap_ms: int = GAP_MS, watermark: str = "1 mi
                     label: str = "class3_name") -> DataFrame:
     """Sessions per video from a streaming (or batch) DataFrame of narrow
     detections; append mode emits a session once the watermark passes it."""
-    ts = F.timestamp_millis(F.col(B))
-    gap = F.concat((F.col(E) - F.col(B) + F.lit(gap_ms)).cast("string"), F.lit(" milliseconds"))
+    ts = media_time(B)
+    gap = gap_interval(B, E, gap_ms)
     members = F.array_sort(F.collect_list(F.struct(F.col(B).alias("b"), F.col(ID).alias("i"),
                                                    F.col(label).alias("v"))))
     return (det.withColumn("_ts", ts)

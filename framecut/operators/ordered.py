@@ -11,12 +11,14 @@ bucket holds at most ``width`` rows however many copies the input has.
 All functions need the group keys to be non-null and the rows to be unique
 on ``keys + [t]``.
 
-The windowed rows are read twice (for the rows and for the bucket
-summaries); Catalyst prunes the two reads differently, so without a cut the
-whole upstream plan would run twice, and twice again for every nested use.
-``fan_out`` therefore materialises them once with a reliable checkpoint in
-the session's checkpoint folder (``spark.checkpoint.dir``), which keeps the
-hash partitioning on (group, bucket), so neither read shuffles again.
+The input is read twice (for the rows and for the bucket summaries);
+Catalyst prunes the two reads differently, so without a cut the whole
+upstream plan would run twice, and twice again for every nested use.
+``fan_out`` therefore materialises the input once with a reliable
+checkpoint in the session's checkpoint folder (``spark.checkpoint.dir``).
+Under AQE a checkpoint does not keep its partitioning, so the input (already
+reduced to one row per group and time) is checkpointed before the bucket
+shuffle rather than after it: each read then shuffles once.
 """
 
 from __future__ import annotations
@@ -57,7 +59,7 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
     tc = F.col(t)
     if width is None:
         return _islands_whole(df, keys, t, end, gap, reach, head)
-    d = df.withColumn(BK, bucket_of(t, width))
+    d = fan_out(df).withColumn(BK, bucket_of(t, width))
     w = Window.partitionBy(*keys, BK).orderBy(t)
     upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
     upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -66,7 +68,7 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
     # local break: decided inside the bucket; the first row of a bucket is a
     # candidate that the carry from earlier buckets confirms or not
     d = d.withColumn("_lbrk", F.col("_prev").isNull() | (tc - F.col("_prev") > gap))
-    d = fan_out(d.withColumn("_lhead", F.max(F.when(F.col("_lbrk"), tc)).over(upto_here)))
+    d = d.withColumn("_lhead", F.max(F.when(F.col("_lbrk"), tc)).over(upto_here))
 
     wb = Window.partitionBy(*keys).orderBy(BK)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
@@ -119,9 +121,9 @@ def _islands_whole(df: DataFrame, keys: list[str], t: str, end: str, gap: int, r
 def with_next(df: DataFrame, keys: Sequence[str], t: str, width: int, out: str = "next") -> DataFrame:
     """Adds ``out``: the ``t`` of the next row of the group (null for the last)."""
     keys = list(keys)
-    d = df.withColumn(BK, bucket_of(t, width))
+    d = fan_out(df).withColumn(BK, bucket_of(t, width))
     w = Window.partitionBy(*keys, BK).orderBy(t)
-    d = fan_out(d.withColumn("_lnext", F.lead(t).over(w)))
+    d = d.withColumn("_lnext", F.lead(t).over(w))
     wb = Window.partitionBy(*keys).orderBy(BK)
     s = (d.groupBy(*keys, BK).agg(F.min(t).alias("_first"))
          .withColumn("_nfirst", F.lead("_first").over(wb))

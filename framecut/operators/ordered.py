@@ -64,10 +64,9 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
     upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
     upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
     prev = F.lag(end).over(w) if reach == "last" else F.max(end).over(upto_prev)
-    d = d.withColumn("_prev", prev)
     # local break: decided inside the bucket; the first row of a bucket is a
     # candidate that the carry from earlier buckets confirms or not
-    d = d.withColumn("_lbrk", F.col("_prev").isNull() | (tc - F.col("_prev") > gap))
+    d = d.withColumn("_lbrk", prev.isNull() | (tc - prev > gap))
     d = d.withColumn("_lhead", F.max(F.when(F.col("_lbrk"), tc)).over(upto_here))
 
     wb = Window.partitionBy(*keys).orderBy(BK)
@@ -78,19 +77,18 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
         F.max(F.when(F.col("_lbrk"), tc)).alias("_blast"),
     )
     if reach == "last":
-        s = s.withColumn("_carry", F.lag("_bend").over(wb))
-        first_real = F.col("_carry").isNull() | (F.col("_first") - F.col("_carry") > gap)
-        s = s.withColumn("_first_real", first_real)
+        carry = F.lag("_bend").over(wb)
+        first_real = carry.isNull() | (F.col("_first") - carry > gap)
         bucket_head = (F.when(F.col("_blast") > F.col("_first"), F.col("_blast"))
-                       .when(F.col("_first_real"), F.col("_first")))
+                       .when(first_real, F.col("_first")))
     else:
-        s = s.withColumn("_carry", F.max("_bend").over(before))
-        s = s.withColumn("_first_real", F.lit(None).cast("boolean"))
-        bucket_head = F.when(F.col("_carry").isNull() | (F.col("_blast") - F.col("_carry") > gap),
-                             F.col("_blast"))
-    s = s.withColumn("_bhead", bucket_head)
-    s = s.withColumn("_chead", F.max("_bhead").over(before))
-    s = s.select(*keys, BK, "_first", "_carry", "_first_real", "_chead")
+        carry = F.max("_bend").over(before)
+        first_real = F.lit(None).cast("boolean")
+        bucket_head = F.when(carry.isNull() | (F.col("_blast") - carry > gap), F.col("_blast"))
+    s = s.select(*keys, BK, "_first", carry.alias("_carry"), first_real.alias("_first_real"),
+                 bucket_head.alias("_bhead"))
+    s = s.select(*keys, BK, "_first", "_carry", "_first_real",
+                 F.max("_bhead").over(before).alias("_chead"))
 
     j = d.join(s, on=[*keys, BK], how="inner")
     if reach == "last":
@@ -100,8 +98,8 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
     else:
         h = F.when(F.col("_carry").isNull() | (F.col("_lhead") - F.col("_carry") > gap),
                    F.col("_lhead")).otherwise(F.col("_chead"))
-    return j.withColumn(head, h).drop(BK, "_prev", "_lbrk", "_lhead", "_first", "_carry",
-                                      "_first_real", "_chead")
+    out = [c for c in df.columns] + [h.alias(head)]
+    return j.select(*out)
 
 
 def _islands_whole(df: DataFrame, keys: list[str], t: str, end: str, gap: int, reach: str,

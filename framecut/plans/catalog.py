@@ -65,7 +65,7 @@ def _narrow(spark, sf):
 def _known(df, spark, sf):
     """Keep rows of videos present in the video table (checked on the
     operator's output, which is smaller than its input)."""
-    return N.known_videos(df, fixtures.videos(spark, sf))
+    return N.known_videos(df, fixtures.inputs(spark, sf).videos)
 
 
 def _enriched(spark, sf):
@@ -83,11 +83,11 @@ def detections_enriched(spark, sf):
 
 
 def detections_pending(spark, sf):
-    return N.pending(_enriched(spark, sf), fixtures.tasks(spark, sf))
+    return N.pending(_enriched(spark, sf), _inputs(spark, sf).tasks)
 
 
 def detections_exclude_suffix(spark, sf):
-    return N.exclude_suffix(_enriched(spark, sf), fixtures.videos(spark, sf), ".ts")
+    return N.exclude_suffix(_enriched(spark, sf), _inputs(spark, sf).videos, ".ts")
 
 
 def detections_known_types(spark, sf):

@@ -33,8 +33,19 @@ SCENES_PER_VIDEO = 6
 # -----------------------------------------------------------------------------
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The test table, read (file listing, footers) once per session, like
+    a table registered in a catalog; the returned DataFrame is a lazy plan,
+    no data is cached."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _offset_ms(col: str = "ts"):
@@ -126,7 +137,18 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return task_scan(t)
 
 
+_INPUTS: dict[tuple[int, str], Inputs] = {}
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The five derived inputs; built once per session and directory."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _INPUTS:
+        _INPUTS[key] = _build_inputs(spark, sf_dir)
+    return _INPUTS[key]
+
+
+def _build_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(
         detections=detections(spark, sf_dir),
         labels=labels(spark),

@@ -8,8 +8,10 @@ which has one row per bucket (so per group at most media length / width
 rows).  The callers first reduce their input to one row per (group, t), so a
 bucket holds at most ``width`` rows however many copies the input has.
 
-All functions need the group keys to be non-null and the rows to be unique
-on ``keys + [t]``.
+All functions need the group keys to be non-null.  Rows should be unique on
+``keys + [t]``; rows sharing a ``t`` are allowed in ``islands`` when their
+order cannot matter: with ``reach='max'`` (if end >= t), or when ``end`` is
+``t`` itself.
 
 The input is read twice (for the rows and for the bucket summaries);
 Catalyst prunes the two reads differently, so without a cut the whole

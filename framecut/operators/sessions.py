@@ -55,19 +55,20 @@ def _fold_heads(heads: DataFrame, gap_ms: int) -> DataFrame:
 def assign_sessions(m: DataFrame, gap_ms: int, reach: str = "last",
                     bucket_ms: int = BUCKET_MS) -> DataFrame:
     """Adds ``cluster_start`` (the begin of the cluster's first row) to every
-    row of ``m`` (intervals with video_id, begin, end, detection_id)."""
+    row of ``m`` (intervals with video_id, begin, end, detection_id; end >=
+    begin).  Rows with equal begins never break among themselves here (the
+    running max and the begin comparison do not depend on their order), so
+    the ordered scan runs on ``m`` directly."""
     if reach == "max":
-        g = m.groupBy("video_id", B).agg(F.max(E).alias("_e_max"))
-        h = islands(g, ["video_id"], B, "_e_max", gap_ms, "max", bucket_ms, head=START)
-        return m.join(h.select("video_id", B, START), ["video_id", B])
+        return islands(m, ["video_id"], B, E, gap_ms, "max", bucket_ms, head=START)
     if reach != "last":
         raise ValueError(f"reach must be 'last' or 'max', not {reach!r}")
-    g = m.groupBy("video_id", B).agg(F.min_by(E, ID).alias("_e_first"))
-    runs = islands(g, ["video_id"], B, B, gap_ms, "last", bucket_ms, head="_run")
-    heads = runs.where(F.col(B) == F.col("_run")).select("video_id", B, "_e_first")
+    runs = islands(m, ["video_id"], B, B, gap_ms, "last", bucket_ms, head="_run")
+    # the end that counts for a head is the one of its first row (by id)
+    heads = (runs.where(F.col(B) == F.col("_run"))
+             .groupBy("video_id", B).agg(F.min_by(E, ID).alias("_e_first")))
     starts = _fold_heads(heads, gap_ms)
-    rows = m.join(runs.select("video_id", B, "_run"), ["video_id", B])
-    return rows.join(starts, ["video_id", "_run"]).drop("_run")
+    return runs.join(starts, ["video_id", "_run"]).drop("_run")
 
 
 def _members(label: str):

@@ -13,31 +13,32 @@ All functions need the group keys to be non-null.  Rows should be unique on
 order cannot matter: with ``reach='max'`` (if end >= t), or when ``end`` is
 ``t`` itself.
 
-The input is read twice (for the rows and for the bucket summaries);
-Catalyst prunes the two reads differently, so without a cut the whole
-upstream plan would run twice, and twice again for every nested use.
-``fan_out`` therefore materialises the input once with a reliable
-checkpoint in the session's checkpoint folder (``spark.checkpoint.dir``).
-Under AQE a checkpoint does not keep its partitioning, so the input (already
-reduced to one row per group and time) is checkpointed before the bucket
-shuffle rather than after it: each read then shuffles once.
+The row-level result is read twice (for the rows and for the bucket
+summaries); Catalyst prunes the two reads differently, so without a cut the
+whole upstream plan would run twice, and twice again for every nested use.
+``shared`` therefore persists the windowed rows (memory, spilling to the
+executors' local disks).  The cached rows keep their hash partitioning on
+(group, bucket), so the summary aggregate and the join back read them
+without another shuffle: one full shuffle per scan.  Lost cached blocks are
+recomputed from the lineage; ``session.release`` drops the caches after the
+output is written.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BK = "_bk"
 
 
-def fan_out(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once for several consumers (reliable checkpoint)."""
-    from framecut.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once for several consumers (persisted lazily, on
+    the first action that reads it)."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def bucket_of(t: str | Column, width: int) -> Column:
@@ -61,7 +62,7 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
     tc = F.col(t)
     if width is None:
         return _islands_whole(df, keys, t, end, gap, reach, head)
-    d = fan_out(df).withColumn(BK, bucket_of(t, width))
+    d = df.withColumn(BK, bucket_of(t, width))
     w = Window.partitionBy(*keys, BK).orderBy(t)
     upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
     upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -69,7 +70,7 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
     # local break: decided inside the bucket; the first row of a bucket is a
     # candidate that the carry from earlier buckets confirms or not
     d = d.withColumn("_lbrk", prev.isNull() | (tc - prev > gap))
-    d = d.withColumn("_lhead", F.max(F.when(F.col("_lbrk"), tc)).over(upto_here))
+    d = shared(d.withColumn("_lhead", F.max(F.when(F.col("_lbrk"), tc)).over(upto_here)))
 
     wb = Window.partitionBy(*keys).orderBy(BK)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
@@ -121,9 +122,9 @@ def _islands_whole(df: DataFrame, keys: list[str], t: str, end: str, gap: int, r
 def with_next(df: DataFrame, keys: Sequence[str], t: str, width: int, out: str = "next") -> DataFrame:
     """Adds ``out``: the ``t`` of the next row of the group (null for the last)."""
     keys = list(keys)
-    d = fan_out(df).withColumn(BK, bucket_of(t, width))
+    d = df.withColumn(BK, bucket_of(t, width))
     w = Window.partitionBy(*keys, BK).orderBy(t)
-    d = d.withColumn("_lnext", F.lead(t).over(w))
+    d = shared(d.withColumn("_lnext", F.lead(t).over(w)))
     wb = Window.partitionBy(*keys).orderBy(BK)
     s = (d.groupBy(*keys, BK).agg(F.min(t).alias("_first"))
          .withColumn("_nfirst", F.lead("_first").over(wb))

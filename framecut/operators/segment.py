@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framecut.operators.ordered import bucket_of, bucket_span, fan_out, with_next
+from framecut.operators.ordered import bucket_of, bucket_span, shared, with_next
 from framecut.params import BUCKET_MS
 
 B, E = "ad_seat_b_time", "ad_seat_e_time"
@@ -38,7 +38,7 @@ def segment(iv: DataFrame, by: Sequence[str] = ("video_id",), bucket_ms: int = B
     columns kept.  The intervals are read three times (begins, ends, the
     overlap join), so they are materialised once."""
     by = list(by)
-    iv = fan_out(iv)
+    iv = shared(iv)
     fr = fragments(iv, by, bucket_ms).withColumn("_bk", bucket_of("frag_b", bucket_ms))
     # an interval covers fragments whose begin lies in [begin, end)
     ivb = (iv.where(F.col(E) > F.col(B))

@@ -114,10 +114,18 @@ def clips_single_typed(spark, sf):
     return flat(jobs.clips_single(_inputs(spark, sf), typed=True))
 
 
+def _requested(inp):
+    """The videos of the request segment, as a DataFrame of ids."""
+    return inp.videos.where(F.col("category") == REQUEST_SEGMENT).select(F.col("videoId").alias("video_id"))
+
+
+def detections_for_video(spark, sf):
+    return N.for_videos(_enriched(spark, sf), _requested(_inputs(spark, sf)))
+
+
 def clips_for_videos(spark, sf):
     inp = _inputs(spark, sf)
-    ids = inp.videos.where(F.col("category") == REQUEST_SEGMENT).select(F.col("videoId").alias("video_id"))
-    return flat(jobs.clips_single(inp, video_ids=ids))
+    return flat(jobs.clips_single(inp, video_ids=_requested(inp)))
 
 
 def _touching(spark, sf):
@@ -220,6 +228,7 @@ QUERIES: dict[str, Query] = {
     "detections_pending": detections_pending,
     "detections_exclude_suffix": detections_exclude_suffix,
     "detections_known_types": detections_known_types,
+    "detections_for_video": detections_for_video,
     "pad_intervals": pad_intervals,
     "merge_touching_last": _merge(0, Params().pad_ms, "last"),
     "merge_touching_max": _merge(0, Params().pad_ms, "max"),

@@ -272,6 +272,8 @@ ORACLE_SQL: dict[str, str] = {
     "detections_exclude_suffix": _q(select=ENR + " e WHERE NOT EXISTS (SELECT 1 FROM vid v WHERE v.videoId = "
                                     "e.video_id AND v.originalUrl LIKE '%.ts')"),
     "detections_known_types": _q(select=ENR + " WHERE class_type_id IN ('1', '2', '3', '4')"),
+    "detections_for_video": _q(select=ENR + " WHERE video_id IN (SELECT videoId FROM vid "
+                                            "WHERE category = 'AUTOMOBILE')"),
     "pad_intervals": _q(select=f"SELECT video_id, class3_name, detection_id, "
                                f"greatest(ad_seat_b_time - {PAD_MS}, 0) AS ad_seat_b_time, "
                                f"ad_seat_e_time + {PAD_MS} AS ad_seat_e_time FROM nar"),

@@ -32,6 +32,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "fra
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Drop the intermediate results that the operators persisted (call it
+    once the outputs of a job are written)."""
+    spark.catalog.clearCache()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session.
 

@@ -33,3 +33,15 @@ def test_labels_broadcast_not_detections(spark):
     df = QUERIES["pad_intervals"](spark, SF01)
     txt = df._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in txt and "BuildRight" in txt
+
+
+def test_ordered_scan_reads_its_rows_without_a_second_shuffle(spark):
+    """The windowed rows of an ordered scan are persisted with their
+    (group, bucket) partitioning: the join back to the bucket summaries
+    must not shuffle them again."""
+    df = QUERIES["merge_touching_last"](spark, SF01)
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    scans = [i for i, l in enumerate(lines) if "InMemoryTableScan" in l and "_lhead" in l]
+    assert scans
+    for i in scans:
+        assert "Exchange" not in lines[i - 1], lines[i - 1]

@@ -17,7 +17,7 @@ The row-level result is read twice (for the rows and for the bucket
 summaries); Catalyst prunes the two reads differently, so without a cut the
 whole upstream plan would run twice, and twice again for every nested use.
 ``shared`` therefore persists the windowed rows (memory, spilling to the
-executors' local disks).  The cached rows keep their hash partitioning on
+executors' local disks) and fills the cache at once.  The cached rows keep their hash partitioning on
 (group, bucket), so the summary aggregate and the join back read them
 without another shuffle: one full shuffle per scan.  Lost cached blocks are
 recomputed from the lineage; ``session.release`` drops the caches after the
@@ -36,9 +36,12 @@ BK = "_bk"
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once for several consumers (persisted lazily, on
-    the first action that reads it)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Materialise ``df`` once for several consumers.  It is persisted and
+    filled at once: only a filled cache tells the planner its partitioning
+    (an unfilled one reports none, and every reader would shuffle it)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
 
 
 def bucket_of(t: str | Column, width: int) -> Column:

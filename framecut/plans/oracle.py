@@ -324,3 +324,42 @@ SELECT video_id, frag_b, frag_e, CAST(count(*) AS BIGINT) AS n_active,
        string_agg(class3_name, '|' ORDER BY class3_name, detection_id) AS labels
 FROM sg GROUP BY video_id, frag_b, frag_e""")
 ORACLE_SQL["segment_labels"] = _q(merge_cte("m", "nar", 0, PAD_MS, "last"), SEGMENTS, select="SELECT * FROM sg")
+
+
+# --- clips_json: the JSON text of every document of clips_all ---------------
+# Spark's to_json leaves null fields out and writes keys in column order; the
+# union puts the single-clip columns first and appends the scene-only
+# ``string_long`` at the end.  concat_ws skips a NULL field the same way.
+_HEAD = ["string_vid", "media_name", "string_drama_name", "string_drama_type_name",
+         "string_media_area_name", "string_time"]
+_TYPED_LISTS = [f"string_{n}_list" for n, _ in TYPED]
+_JSON_FIELDS = {
+    "single": _HEAD + ["string_time_long", "string_class3_list", *_TYPED_LISTS, "string_class2_list",
+                       "string_class_img_list", "string_class3_to_img", "string_frame_img_list", "resourceId"],
+    "multi": _HEAD + ["string_time_long", "string_class3_list", *_TYPED_LISTS, "string_class2_list",
+                      "string_class_img_list", "resourceId"],
+    "scene": _HEAD + ["string_class3_list", *_TYPED_LISTS, "string_class2_list", "string_class_img_list",
+                      "resourceId", "string_long"],
+}
+_SCALARS = {"string_vid", "media_name", "string_drama_name", "string_drama_type_name", "string_media_area_name",
+            "string_time", "string_time_long", "resourceId", "string_long"}
+
+
+def _json_value(col: str) -> str:
+    if col in _SCALARS:
+        return f"CAST(to_json({col}) AS VARCHAR)"
+    if col == "string_class3_to_img":  # one label per single clip: 'label=image'
+        return (f"CASE WHEN {col} = '' THEN '{{}}' ELSE CAST(to_json(map([split_part({col}, '=', 1)], "
+                f"[split_part({col}, '=', 2)])) AS VARCHAR) END")
+    return f"CASE WHEN {col} = '' THEN '[]' ELSE CAST(to_json(string_split({col}, '|')) AS VARCHAR) END"
+
+
+def json_sql() -> str:
+    sels = []
+    for kind, sql in (("single", single_sql(True)), ("multi", multi_sql(3)), ("scene", scene_sql(True))):
+        parts = ", ".join(f"'\"{c}\":' || {_json_value(c)}" for c in _JSON_FIELDS[kind])
+        sels.append(f"SELECT '{{' || concat_ws(',', {parts}) || '}}' AS json FROM {_wrap(sql, kind + '_docs')}")
+    return "\nUNION ALL\n".join(sels)
+
+
+ORACLE_SQL["clips_json"] = json_sql()

@@ -22,10 +22,9 @@ def duck():
     return con
 
 
-def test_every_query_has_oracle_or_is_known_rows_only():
+def test_every_query_has_an_oracle():
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"clips_json"}
+    assert set(o) == set(q)
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))

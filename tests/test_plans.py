@@ -45,3 +45,12 @@ def test_ordered_scan_reads_its_rows_without_a_second_shuffle(spark):
     assert scans
     for i in scans:
         assert "Exchange" not in lines[i - 1], lines[i - 1]
+
+
+def test_cluster_conf_scales_partitions_with_input():
+    from framecut.session import cluster_conf
+    small = cluster_conf(10 ** 6, cores=8)
+    big = cluster_conf(100 * 1024 ** 4, cores=8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert big["spark.sql.shuffle.partitions"] == "64000"
+    assert "spark.checkpoint.dir" not in big

@@ -39,7 +39,8 @@ def shared(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once for several consumers.  It is persisted and
     filled at once: only a filled cache tells the planner its partitioning
     (an unfilled one reports none, and every reader would shuffle it)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    from framecut.session import track
+    df = track(df.persist(StorageLevel.MEMORY_AND_DISK))
     df.count()
     return df
 

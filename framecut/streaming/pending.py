@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from framecut import schemas
 from framecut.params import Params
+from framecut.session import release
 from framecut.sources.sinks import append_new
 from framecut.sources.tables import Inputs, pending_tasks
 
@@ -39,6 +40,7 @@ def run_round(inp: Inputs, docs_path: str, tasks_out: str, p: Params = Params(),
     from framecut.plans.jobs import clips_all
     ids = pending_tasks(inp.tasks).select("video_id")
     obs = append_new(clips_all(inp, p, video_ids=ids), docs_path, fmt)
+    release(ids.sparkSession)
     mark_processed(inp.tasks, ids).write.mode("overwrite").parquet(tasks_out)
     return int(obs.get.get("documents", 0))
 
@@ -57,6 +59,7 @@ def pending_stream(spark: SparkSession, inp: Inputs, task_dir: str, docs_path: s
     def round_(batch: DataFrame, epoch: int) -> None:
         ids = pending_tasks(batch).select("video_id").distinct()
         append_new(clips_all(inp, p, video_ids=ids), docs_path, fmt)
+        release(batch.sparkSession)  # a long-running stream keeps no round's rows
 
     return (tasks.writeStream.foreachBatch(round_)
             .option("checkpointLocation", checkpoint)

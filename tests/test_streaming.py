@@ -71,3 +71,16 @@ def test_stream_sessions_subset_of_batch(spark, scratch):
     batch = {tuple(r) for r in session_summary(assign_sessions(det, 10000, "max"))
              .select("video_id", "cluster_b", "cluster_e", "n_members").collect()}
     assert got and got <= batch
+
+
+def test_release_drops_only_operator_caches(spark):
+    from framecut.operators.ordered import shared
+    from framecut.session import release
+    mine = spark.range(10).persist()
+    mine.count()
+    op = shared(spark.range(20).selectExpr("id * 2 AS x"))
+    assert op.storageLevel.useMemory
+    release(spark)
+    assert not op.storageLevel.useMemory and not op.storageLevel.useDisk
+    assert mine.storageLevel.useMemory
+    mine.unpersist()

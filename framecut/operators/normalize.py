@@ -30,11 +30,21 @@ def unify_sources(tables: Mapping[str, DataFrame] | DataFrame) -> DataFrame:
     return out
 
 
+def broadcast_checked(dim: DataFrame, max_rows: int = P.MAX_BROADCAST_ROWS) -> DataFrame:
+    """``dim`` marked for broadcast when it has at most ``max_rows`` rows
+    (counted on at most ``max_rows + 1`` rows); otherwise unchanged, and the
+    join is planned by Spark (shuffle, or a broadcast chosen by AQE from the
+    measured size)."""
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
+
+
 def label_detections(det: DataFrame, labels: DataFrame) -> DataFrame:
     """J1 + P1: detection x label dimension (inner, on ``class_id``), renamed to
-    the narrow unified layout.  The label table is small and fixed in size, so
-    Spark's size check broadcasts it."""
-    lab = labels.select(
+    the narrow unified layout.  The label dimension is broadcast after a row
+    count check: read over JDBC its size is unknown to Spark, and a shuffle
+    of all detections on ``class_id`` (a few hot keys) must not happen."""
+    lab = broadcast_checked(labels).select(
         "class_id",
         F.col("class1_name").alias("class2_name"),
         F.col("class_type").alias("class_type_id"),

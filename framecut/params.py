@@ -44,6 +44,10 @@ RESOURCE_SCENE = "2"
 # bucket, are scanned per video.
 BUCKET_MS = 60_000
 
+# Largest dimension (label vocabulary) broadcast to every task; above it the
+# join is left to Spark's planner.
+MAX_BROADCAST_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Params:

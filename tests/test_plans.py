@@ -54,3 +54,16 @@ def test_cluster_conf_scales_partitions_with_input():
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert big["spark.sql.shuffle.partitions"] == "64000"
     assert "spark.checkpoint.dir" not in big
+
+
+def test_label_dimension_without_statistics_is_broadcast_after_count(spark):
+    """A label table whose size Spark cannot estimate (like a JDBC read) is
+    broadcast after the row-count check, never joined by shuffling the
+    detections on class_id."""
+    from framecut.operators.normalize import label_detections
+    from framecut.sources import fixtures
+    inp = fixtures.inputs(spark, SF01)
+    lab = inp.labels
+    no_stats = spark.createDataFrame(spark.sparkContext.parallelize(lab.collect()), lab.schema)
+    txt = label_detections(inp.detections, no_stats)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in txt and "SortMergeJoin" not in txt

@@ -67,3 +67,17 @@ def test_label_dimension_without_statistics_is_broadcast_after_count(spark):
     no_stats = spark.createDataFrame(spark.sparkContext.parallelize(lab.collect()), lab.schema)
     txt = label_detections(inp.detections, no_stats)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in txt and "SortMergeJoin" not in txt
+
+
+def test_merge_combines_copies_before_the_first_shuffle(spark):
+    """Copies of a detection (one key may hold a third of all rows) are
+    combined map-side: the detections' first exchange sits on a partial
+    aggregate, not on the raw scan.  (The first row's attributes are a
+    struct with strings, so Spark plans a sort-based aggregate.)"""
+    df = QUERIES["merge_touching_last"](spark, SF01)
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    firsts = [i for i, l in enumerate(lines)
+              if "Exchange hashpartitioning(video_id" in l and "ad_seat_b_time" in l]
+    assert firsts
+    for i in firsts:
+        assert "Aggregate" in lines[i + 1] and "partial_" in lines[i + 1], lines[i + 1]

@@ -145,7 +145,7 @@ class WaveletMatrix:
         return low
 
 
-def _shard_rows(batches, path: str, end: int, shard_tokens: int):
+def _shard_rows(batches, path: str, end: int, shard_tokens: int, at_once: int):
     """Shards of a partition's documents, in the order they arrive."""
     enc, part, seq = encoder(path), TaskContext.get().partitionId(), 0
     held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
@@ -162,8 +162,8 @@ def _shard_rows(batches, path: str, end: int, shard_tokens: int):
             "blob": pa.array([write_blob(ids)], pa.binary())})
 
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            some = batch.slice(at, 1000)
+        for at in range(0, batch.num_rows, at_once):
+            some = batch.slice(at, at_once)
             ids, n = with_end(*enc.encode(some.column(1)), end)
             held.append((ids, n, some.column(0)))
             if sum(len(h[0]) for h in held) >= shard_tokens:
@@ -174,12 +174,13 @@ def _shard_rows(batches, path: str, end: int, shard_tokens: int):
 
 
 def write_shards(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 end: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> None:
-    """Encode ``docs`` and write the shards, ascending by id, to ``out``."""
+                 end: int = END_ID, shard_tokens: int = SHARD_TOKENS, at_once: int = 1000) -> None:
+    """Encode ``docs`` and write the shards, ascending by id, to ``out``; a shard
+    ends when ``at_once`` documents more have filled it."""
     dealt = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
              .repartitionByRange(shards(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text"))
     dealt.mapInArrow(
-        per_partition(_shard_rows, tokenizer, end, shard_tokens),
+        per_partition(_shard_rows, tokenizer, end, shard_tokens, at_once),
         "part int, seq int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, blob binary",
     ).write.option("compression", "uncompressed").parquet(out)
 
@@ -189,7 +190,7 @@ def _documents(batches):
     for batch in batches:
         for k in range(batch.num_rows):
             row = batch.slice(k, 1)
-            sizes = row.column("doc_tokens").values.to_numpy()
+            sizes = row.column("doc_tokens").flatten().to_numpy()
             raw = WaveletMatrix(row.column("blob")[0].as_py()).all().astype("<u4")
             upto = np.cumsum(sizes)
             view = memoryview(raw.view(np.uint8))
@@ -197,7 +198,7 @@ def _documents(batches):
             yield pa.RecordBatch.from_pydict({
                 "part": pa.repeat(row.column("part")[0], len(sizes)),
                 "seq": pa.repeat(row.column("seq")[0], len(sizes)),
-                "doc_id": row.column("doc_ids").values, "inside": pa.array(upto - sizes, pa.int64()),
+                "doc_id": row.column("doc_ids").flatten(), "inside": pa.array(upto - sizes, pa.int64()),
                 "n_tokens": pa.array(sizes, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, per_partition, small, text_of
-from .tokens import END_ID, encoder, with_end
+from .tokens import END_ID, encoder, portions, with_end
 
 CAPACITY = 4096
 #: Bodies are multiples of this many ids.
@@ -48,8 +48,7 @@ def _pieces(batches, path: str, end: int, capacity: int, grain: int, with_ids: b
     """Pieces with checksums; ``idx`` numbers the pieces of a length in this task."""
     enc, part, seen = encoder(path), TaskContext.get().partitionId(), {}
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            some = batch.slice(at, 1000)
+        for some in portions(batch, 1):
             ids, n = with_end(*enc.encode(some.column(1)), end)
             raw = memoryview(ids.astype("<u4").view(np.uint8))
             owner, start, length, idx, crc, total, blobs, place = [], [], [], [], [], [], [], 0

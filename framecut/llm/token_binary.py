@@ -9,7 +9,7 @@ written and any store that Spark reaches will do):
 * ``n_tokens``; ``doc_ids``, ``doc_tokens``: the documents in it, 64-bit, and
   their numbers of ids;
 * ``blob``: the file.  Magic ``WMX1``, number of ids (64-bit), number of levels
-  (32-bit), then per level: zeros (64-bit), length of the zlib-compressed
+  (32-bit), then per level: zeros (64-bit), length of the zstd-compressed
   plane (32-bit; 0: stored as it is), the bits of the plane, most significant
   bit level first.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import per_partition, shards, table_path, text_of
-from .tokens import END_ID, encoder, with_end
+from .tokens import END_ID, PORTION, encoder, portions, with_end
 
 SHARD_TOKENS = 4_000_000
 MAGIC = b"WMX1"
@@ -53,6 +53,10 @@ def planes_of(ids: np.ndarray, levels: int) -> list[tuple[int, np.ndarray]]:
     return out
 
 
+def _squeezed(raw: bytes) -> bytes:
+    return pa.compress(raw, codec="zstd", asbytes=True)
+
+
 def write_blob(ids: np.ndarray) -> bytes:
     """The file of one shard."""
     levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
@@ -60,8 +64,8 @@ def write_blob(ids: np.ndarray) -> bytes:
     for zeros, bits in planes_of(ids, levels):
         raw = bits.tobytes()
         sample = raw[:65536]
-        thin = len(zlib.compress(sample, 1)) * (1 + 1 / _WORTH) < len(sample)
-        packed = zlib.compress(raw, 1) if thin else b""
+        thin = len(_squeezed(sample)) * (1 + 1 / _WORTH) < len(sample)
+        packed = _squeezed(raw) if thin else b""
         out += [struct.pack("<QI", zeros, len(packed)), packed or raw]
     return b"".join(out)
 
@@ -78,7 +82,7 @@ class WaveletMatrix:
         for _ in range(self.levels):
             zeros, packed = struct.unpack_from("<QI", blob, at)
             at += 12
-            raw = zlib.decompress(blob[at:at + packed]) if packed else blob[at:at + size]
+            raw = pa.decompress(blob[at:at + packed], size, codec="zstd", asbytes=True) if packed else blob[at:at + size]
             at += packed or size
             self.zeros.append(zeros)
             self.planes.append(np.frombuffer(raw, np.uint8))
@@ -162,8 +166,7 @@ def _shard_rows(batches, path: str, end: int, shard_tokens: int, at_once: int):
             "blob": pa.array([write_blob(ids)], pa.binary())})
 
     for batch in batches:
-        for at in range(0, batch.num_rows, at_once):
-            some = batch.slice(at, at_once)
+        for some in portions(batch, 1, at_once):
             ids, n = with_end(*enc.encode(some.column(1)), end)
             held.append((ids, n, some.column(0)))
             if sum(len(h[0]) for h in held) >= shard_tokens:
@@ -174,9 +177,9 @@ def _shard_rows(batches, path: str, end: int, shard_tokens: int, at_once: int):
 
 
 def write_shards(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 end: int = END_ID, shard_tokens: int = SHARD_TOKENS, at_once: int = 1000) -> None:
+                 end: int = END_ID, shard_tokens: int = SHARD_TOKENS, at_once: int = PORTION) -> None:
     """Encode ``docs`` and write the shards, ascending by id, to ``out``; a shard
-    ends when ``at_once`` documents more have filled it."""
+    ends when another ``at_once`` bytes of text have filled it."""
     dealt = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
              .repartitionByRange(shards(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text"))
     dealt.mapInArrow(

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import per_partition, text_of
-from .tokens import encoder
+from .tokens import encoder, portions
 
 #: Lengths in one range of the suffix sums.
 RANGE = 4096
@@ -28,8 +28,8 @@ RANGE = 4096
 def _lengths(batches, path: str):
     enc = encoder(path)
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            _, n = enc.encode(batch.column(0).slice(at, 1000))
+        for some in portions(batch, 0):
+            _, n = enc.encode(some.column(0))
             length, docs = np.unique(n + 1, return_counts=True)
             yield pa.RecordBatch.from_pydict({"length": pa.array(length, pa.int64()), "docs": pa.array(docs, pa.int64())})
 

@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 
 #: Pieces that a worker remembers; about 200 bytes each.
 MEMO = 1_000_000
+#: Bytes of text encoded at a time.
+PORTION = 6 << 20
 #: Id that ends a document.
 END_ID = 2
 #: White space at an end of a text or next to other white space; special tokens; NUL.
@@ -139,6 +141,17 @@ def encoder(path: str) -> TextEncoder:
     return _ENCODERS[path]
 
 
+def portions(batch: pa.RecordBatch, column: int, size: int = PORTION):
+    """Slices of a batch with about ``size`` bytes of text each (one row at least)."""
+    upto = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + size, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def with_end(ids: np.ndarray, n: np.ndarray, end: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """Every document's ids followed by the end id, and the new lengths."""
     return np.insert(ids, np.cumsum(n), np.uint32(end)), n + 1

@@ -287,7 +287,7 @@ def test_token_counts(docs, pairs):
 def test_token_binary(spark, docs, pairs, scratch):
     path = tokens.public_path(catalog.BYTE_BPE)
     out_dir = scratch + "/shards"
-    token_binary.write_shards(docs, out_dir, path, shard_tokens=5_000, at_once=3)
+    token_binary.write_shards(docs, out_dir, path, shard_tokens=5_000, at_once=3000)
     assert spark.read.parquet(out_dir).count() > 12
     out = token_binary.read_documents(spark, out_dir).collect()
     order = sorted(((d, t or "") for d, t in pairs), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))

@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +43,10 @@ NO_ID = (1 << 63) - 1
 #: Stands for several rows of one task; no row has this key.
 SEVERAL = 0
 #: Bytes hashed at a time.
-_CHUNK = 1 << 21
+_CHUNK = 1 << 19
+#: Windows sorted, and bytes of text cut, at a time.
+_PART = 1 << 18
+_CUT = 1 << 22
 #: Bits of an anchor that an entry carries; its bucket comes from the rest.
 _BITS = 40
 _TABLE = np.random.default_rng(50).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -157,11 +159,11 @@ def _split(keys: np.ndarray) -> list[np.ndarray]:
     return np.split(order, starts[1:]) if len(order) else []
 
 
-def _replies(rows: np.ndarray, low: np.ndarray, bucket: np.ndarray, targets: int, home: int) -> list[dict]:
+def _replies(rows: np.ndarray, low: np.ndarray, bucket: np.ndarray, targets: int) -> list[dict]:
     """Records that return anchors to their documents, one per group of documents."""
     full = low | bucket.astype(np.uint64) << np.uint64(_BITS)
     to = rows % targets  # numpy's remainder is not negative
-    return [{"bucket": home, "reply": True, "target": int(to[g[0]]), "rows": _packed(rows[g]),
+    return [{"bucket": int(to[g[0]]), "reply": True, "target": int(to[g[0]]), "rows": _packed(rows[g]),
              "anchors": _packed(full[g])} for g in _split(to)]
 
 
@@ -192,7 +194,7 @@ def _entries(batches, length: int, buckets: int, targets: int):
     group = np.cumsum(first) - 1
     several = np.bincount(group)[group] > 1
     low, bucket = _low(a), _bucket_of(a, buckets)
-    records = _replies(r[several], low[several], bucket[several], targets, TaskContext.get().partitionId() % buckets)
+    records = _replies(r[several], low[several], bucket[several], targets)
     r, low, bucket = np.where(several, SEVERAL, r)[first], low[first], bucket[first]
     for g in _split(bucket):
         names, which = np.unique(r[g], return_inverse=True)
@@ -223,7 +225,7 @@ def _repeated(targets: int):
             first = np.concatenate([[True], low[1:] != low[:-1]])
             many = (np.bincount(np.cumsum(first) - 1) > 1)[np.cumsum(first) - 1] & (r != SEVERAL)
             home = records[0]["bucket"]
-            out += _replies(r[many], low[many], np.full(many.sum(), home), targets, home)
+            out += _replies(r[many], low[many], np.full(many.sum(), home), targets)
         return pa.Table.from_pylist(out, _ENTRY_SCHEMA)
     return run
 
@@ -342,11 +344,15 @@ def blind_trie(strings: list[bytes], depth: int) -> list[list[int]]:
     return out
 
 
+def padded(data: np.ndarray) -> np.ndarray:
+    """``data`` with the 8 bytes more that the sort may touch."""
+    return np.concatenate([data, np.zeros(8, np.uint8)])
+
+
 def deep_shallow(data: np.ndarray, begin: np.ndarray, end: np.ndarray, shallow: int = SHALLOW
                  ) -> tuple[np.ndarray, np.ndarray]:
-    """(order, class) of suffixes begin .. end of ``data``: sorted order, and for
+    """(order, class) of suffixes begin .. end of ``data`` (padded): sorted order, and for
     each place in it the number of its class of equal suffixes."""
-    data = np.concatenate([data, np.zeros(8, np.uint8)])
     order, starts = multikey(data, begin, end, shallow)
     n = len(order)
     fresh = np.zeros(n, bool)
@@ -361,11 +367,11 @@ def deep_shallow(data: np.ndarray, begin: np.ndarray, end: np.ndarray, shallow:
             np.minimum.reduceat(char, starts) == np.maximum.reduceat(char, starts))
         deep = deep[~same[deep]]
     if len(deep):
-        raw = data.tobytes()
-        b, e = begin.tolist(), end.tolist()
+        raw = memoryview(data)
         for at, size in zip(starts[deep].tolist(), sizes[deep].tolist()):
-            members = order[at:at + size].tolist()
-            classes = blind_trie([raw[b[m]:e[m]] for m in members], shallow)
+            members = order[at:at + size]
+            b, e, members = begin[members].tolist(), end[members].tolist(), members.tolist()
+            classes = blind_trie([bytes(raw[x:y]) for x, y in zip(b, e)], shallow)
             if len(classes) > 1:
                 order[at:at + size] = [members[k] for c in classes for k in c]
                 place = at
@@ -390,6 +396,7 @@ def _stretches(length: int, targets: int, shallow: int):
         key = np.concatenate([_long(b) for b in table.column("anchors").to_pylist()])
         end = np.cumsum(size)
         begin = end - size
+        data = padded(data)
         order, kind = deep_shallow(data, begin, end, shallow)
         starts = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
         least = np.minimum.reduceat(doc[order], starts)  # smallest id of each class of equal runs
@@ -400,28 +407,25 @@ def _stretches(length: int, targets: int, shallow: int):
         head = order[starts]
         by, groups = _sorted_groups(key[head])
         count = np.diff(np.concatenate([groups, [len(by)]]))
-        several = np.repeat(count > 1, count)
-        mixed = np.sort(by[several])  # classes
-        if len(mixed):
-            n = size[head[mixed]] - length + 1
-            cls = np.repeat(mixed, n)
-            inside = _expanded(np.zeros(len(n), np.int64), n)
+        mixed = by[np.repeat(count > 1, count)]  # classes, those of an anchor together
+        windows = size[head[mixed]] - length + 1
+        # the rows of a class with its smallest id; all others lose the run whole
+        firsts, of = order[~later], kind[~later]
+        border = np.flatnonzero(np.diff(key[head[mixed]])) + 1  # of anchors
+        portion = np.cumsum(windows)[border - 1] // _PART
+        for part in np.split(mixed, border[np.flatnonzero(np.diff(portion, prepend=0))]) if len(mixed) else []:
+            n = size[head[part]] - length + 1
+            cls, inside = np.repeat(part, n), _expanded(np.zeros(len(n), np.int64), n)
             at = begin[head[cls]] + inside
             wo, wk = deep_shallow(data, at, at + length, length - length % 8)
             ws = np.flatnonzero(np.concatenate([[True], wk[1:] != wk[:-1]]))
             low = np.minimum.reduceat(least[cls[wo]], ws)
             gone = np.zeros(len(cls), bool)
             gone[wo] = low[wk] < least[cls[wo]]
-            # they go from the rows of the class with its smallest id; later ids lose the run whole
-            firsts = order[~later]
-            of = kind[~later]
-            by_class = np.argsort(of, kind="stable")
-            firsts, of = firsts[by_class], of[by_class]
             lost = np.flatnonzero(gone)
             lo, hi = np.searchsorted(of, cls[lost]), np.searchsorted(of, cls[lost], side="right")
-            copies = hi - lo
-            mine = firsts[_expanded(lo, copies)]
-            start = first[mine] + np.repeat(inside[lost], copies)
+            mine = firsts[_expanded(lo, hi - lo)]
+            start = first[mine] + np.repeat(inside[lost], hi - lo)
             out.append((row[mine], start, start + length))
         r, a, b = (np.concatenate([o[k] for o in out]) for k in range(3))
         to = r % targets
@@ -437,33 +441,43 @@ _KEPT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_r
 
 
 def _kept(docs: pa.Table, stretches: pa.Table) -> pa.Table:
-    """What is left of a group of documents."""
+    """What is left of a group of documents, cut _CUT bytes of text at a time."""
     data, offsets = _texts(docs.column("text"))
     ids, keys = docs.column("doc_id").to_numpy(), docs.column("row").to_numpy()
-    gone = np.zeros(len(data) + 1, np.int32)
     r, a, b = (np.concatenate([np.empty(0, np.int64)] + [_unpacked(x, np.int64) for x in stretches.column(c).to_pylist()])
                for c in ("rows", "begins", "ends"))
     by = np.argsort(keys, kind="stable")
     lo, hi = np.searchsorted(keys[by], r), np.searchsorted(keys[by], r, side="right")
     mine = by[_expanded(lo, hi - lo)]  # rows that repeat id and text share a key
-    np.add.at(gone, offsets[mine] + np.repeat(a, hi - lo), 1)
-    np.add.at(gone, offsets[mine] + np.repeat(b, hi - lo), -1)
-    out = np.cumsum(gone[:-1]) > 0
-    before = np.concatenate([[0], np.cumsum(out)])
-    removed = before[offsets[1:]] - before[offsets[:-1]]
-    head = out.copy()
-    head[1:] &= ~out[:-1]
-    borders = offsets[:-1][offsets[:-1] < len(out)]
-    head[borders] = out[borders]
-    heads = np.concatenate([[0], np.cumsum(head)])
-    rest = data[~out].tobytes()
-    ends = np.cumsum(np.diff(offsets) - removed).tolist()
-    kept = [rest[s:e] for s, e in zip([0, *ends[:-1]], ends)]
+    begin, end = offsets[mine] + np.repeat(a, hi - lo), offsets[mine] + np.repeat(b, hi - lo)
+    order = np.argsort(mine, kind="stable")
+    mine, begin, end = mine[order], begin[order], end[order]
+    removed, runs, kept, at = [], [], [], 0
+    while at < len(ids):
+        upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _CUT, side="right")) - 1)
+        some = slice(np.searchsorted(mine, at), np.searchsorted(mine, upto))
+        base, place = offsets[at], offsets[at:upto + 1] - offsets[at]
+        gone = np.zeros(place[-1] + 1, np.int32)
+        np.add.at(gone, begin[some] - base, 1)
+        np.add.at(gone, end[some] - base, -1)
+        out = np.cumsum(gone[:-1], dtype=np.int32) > 0
+        head = out.copy()
+        head[1:] &= ~out[:-1]
+        borders = place[:-1][place[:-1] < len(out)]
+        head[borders] = out[borders]
+        lost = np.diff(np.concatenate([[0], np.cumsum(out)])[place])
+        removed.append(lost)
+        runs.append(np.diff(np.concatenate([[0], np.cumsum(head)])[place]))
+        rest = data[base:base + place[-1]][~out].tobytes()
+        stops = np.cumsum(np.diff(place) - lost).tolist()
+        kept += [rest[x:y] for x, y in zip([0, *stops[:-1]], stops)]
+        at = upto
+    none = [np.empty(0, np.int64)]
     return pa.Table.from_pydict({
         "doc_id": pa.array(ids, pa.int64(), mask=ids == NO_ID), "n_bytes": pa.array(np.diff(offsets), pa.int64()),
-        "n_removed": pa.array(removed, pa.int64()),
-        "n_spans": pa.array(heads[offsets[1:]] - heads[offsets[:-1]], pa.int64()),
-        "kept": pa.array(kept, pa.binary())}, schema=_KEPT_SCHEMA)
+        "n_removed": pa.array(np.concatenate(none + removed), pa.int64()),
+        "n_spans": pa.array(np.concatenate(none + runs), pa.int64()), "kept": pa.array(kept, pa.binary())},
+        schema=_KEPT_SCHEMA)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,

@@ -9,8 +9,8 @@
 4. The confirmed (document, item, shift) alignments are compared word by word
    with the document, which gives the exact windows.
 
-DataFrame operations only.  A broadcast (terms, items, documents with an
-alignment) happens only behind a count; beyond it Spark shuffles.
+DataFrame operations only.  A broadcast (terms, items) happens only behind a
+count; beyond it Spark shuffles.  Alignments meet their documents by a shuffle.
 
 Defined results: a null text has no words; an item without words is nowhere;
 a null item id counts as the empty string; rows that repeat a ``doc_id`` keep
@@ -102,10 +102,9 @@ def exact_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keys = cut(window_keys(items, keyed, window))
     fitting = alignments(postings(keyed, keys), keys)
     known = small(items, 4096)
-    per_doc = small(cut(
-        fitting.join(known, "item").groupBy("doc_id", "h").agg(
-            F.collect_list(F.struct("item_id", "w", "n", "shift")).alias("c"))
-        .select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"), "c")), 8192)
+    per_doc = (fitting.join(known, "item").groupBy("doc_id", "h").agg(
+        F.collect_list(F.struct("item_id", "w", "n", "shift")).alias("c"))
+        .select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"), "c")).hint("merge")  # grows with the corpus
     base = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     near = base.join(per_doc, base["doc_id"].eqNullSafe(per_doc["__d"]) & (base["h"] == per_doc["__h"]))
 

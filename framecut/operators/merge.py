@@ -12,6 +12,8 @@ from framecut.operators.ordered import islands
 from framecut.params import BUCKET_MS
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
+#: Stands for a null label while rows are grouped by it (no label holds a NUL).
+NO_LABEL = "\u0000"
 LABEL_KEYS = ("video_id", "class3_name")
 
 
@@ -26,7 +28,7 @@ def merge_same_label(det: DataFrame, gap_ms: int, pad_ms: int = 0, reach: str =
                      keys: Sequence[str] = LABEL_KEYS, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """I2 (``pad_ms=4000, gap_ms=0``) and I3 (``pad_ms=0, gap_ms=10000``).
 
-    Rows of one (video, label) are taken in (begin, detection_id) order; a row
+    Rows of one (video, label) are taken in (begin, detection_id, source) order; a row
     joins the open interval when ``begin - reach <= gap``.  With
     ``reach='last'`` (the reference fold) the reach is the end of the previous
     row, and the merged end is the end of the last row; with ``reach='max'``
@@ -35,12 +37,16 @@ def merge_same_label(det: DataFrame, gap_ms: int, pad_ms: int = 0, reach: str =
     """
     keys = list(keys)
     x = pad(det, pad_ms)
+    null_label = "class3_name" in keys  # rows without label are a group of their own
+    if null_label:
+        x = x.withColumn("class3_name", F.coalesce("class3_name", F.lit(NO_LABEL)))
+    by_id = F.struct(*(c for c in (ID, "source") if c in x.columns))
     attrs = [c for c in x.columns if c not in (*keys, B, E)]
     # one row per (group, begin): copies and equal begins are combined map-side;
     # inside such a tie no row can break (end >= begin, gap >= 0)
     g = x.groupBy(*keys, B).agg(
-        F.min_by(F.struct(*attrs), F.col(ID)).alias("_row"),
-        F.max_by(E, ID).alias("_e_last"),
+        F.min_by(F.struct(*attrs), by_id).alias("_row"),
+        F.max_by(F.col(E), by_id).alias("_e_last"),
         F.max(E).alias("_e_max"),
         F.count(F.lit(1)).alias("_n"),
     )
@@ -51,4 +57,5 @@ def merge_same_label(det: DataFrame, gap_ms: int, pad_ms: int = 0, reach: str =
         (F.max_by("_e_last", B) if reach == "last" else F.max("_e_max")).alias(E),
         F.sum("_n").alias("n_detections"),
     )
-    return merged.select(*keys, F.col("_head").alias(B), E, "_row.*", "n_detections")
+    out = merged.select(*keys, F.col("_head").alias(B), E, "_row.*", "n_detections")
+    return out.withColumn("class3_name", F.nullif("class3_name", F.lit(NO_LABEL))) if null_label else out

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecut import params as P
@@ -76,22 +76,43 @@ def known_videos(det: DataFrame, videos: DataFrame) -> DataFrame:
     return det.join(videos.select(F.col("videoId").alias("video_id")), "video_id", "left_semi")
 
 
+def reject_reason() -> Column:
+    """Why the interval operators cannot take a row (null: they can).
+
+    A null label is kept (multi-label and scene clips carry it; the
+    single-label job, which groups by label, rejects it itself), and so is a
+    negative begin (padding floors it at 0)."""
+    return (F.when(F.col("video_id").isNull(), "null_video")
+            .when(F.col("ad_seat_b_time").isNull() | F.col("ad_seat_e_time").isNull(), "null_offset")
+            .when(F.col("ad_seat_e_time") < F.col("ad_seat_b_time"), "ends_before_begin"))
+
+
 def split_valid(det: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that the interval operators can take, and the rest.
+    """Rows that the interval operators can take, and the rest with a ``reason``."""
+    reason = reject_reason()
+    return det.where(reason.isNull()), det.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
-    A row is rejected when a key (video, label) or an offset is null, or when
-    it ends before it begins.  The rejected rows are returned, not dropped, so
-    the caller can count or store them.
-    """
-    ok = (F.col("video_id").isNotNull() & F.col("class3_name").isNotNull()
-          & F.col("ad_seat_b_time").isNotNull() & F.col("ad_seat_e_time").isNotNull()
-          & (F.col("ad_seat_e_time") >= F.col("ad_seat_b_time"))
-          & (F.col("ad_seat_b_time") >= 0))
-    return det.where(ok), det.where(~ok | ok.isNull())
+
+def labelled(det: DataFrame) -> DataFrame:
+    """Rows with a label, for operators that group by it."""
+    return det.where(F.col("class3_name").isNotNull())
+
+
+def rejected_counts(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame) -> DataFrame:
+    """Data quality of the input: (reason, n_rows) of rejected rows, of null
+    labels (rejected by single-label clips only) and of unknown label types."""
+    narrow = label_detections(unify_sources(det), labels)
+    reason = reject_reason()
+    unknown = ~F.coalesce(F.col("class_type_id").isin(*P.KNOWN_TYPES), F.lit(False))
+    reasons = F.filter(F.array(
+        reason, F.when(reason.isNull() & F.col("class3_name").isNull(), "null_label"),
+        F.when(reason.isNull() & unknown, "unknown_type")), lambda r: r.isNotNull())
+    return narrow.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
 
 def normalize(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame) -> DataFrame:
-    """The narrow, valid detections.
+    """The narrow, valid detections (``rejected_counts`` counts the rest).
 
     Detections of videos missing from the video table are dropped later, where
     it is cheapest: the per-video clip jobs join the video attributes (inner)

@@ -34,7 +34,7 @@ def screen_time(pairs: DataFrame) -> DataFrame:
     """Per (video, scene, label) the summed length of its
     detections (overlaps count twice), the first detection's image and times
     (first by (begin, detection_id)), and the share of the scene."""
-    first = F.min_by(F.struct(F.col("ad_seat_img"), F.col(B), F.col(E)), F.struct(F.col(B), F.col(ID)))
+    first = F.min_by(F.struct(F.col("ad_seat_img"), F.col(B), F.col(E)), F.struct(*(c for c in (B, ID, "source") if c in pairs.columns)))
     g = pairs.groupBy(*SCENE_KEYS, *LABEL_COLS).agg(
         F.sum(F.col(E) - F.col(B)).cast("bigint").alias("totaltime"),
         first.alias("_first"),

@@ -66,7 +66,7 @@ def assign_sessions(m: DataFrame, gap_ms: int, reach: str = "last",
     runs = islands(m, ["video_id"], B, B, gap_ms, "last", bucket_ms, head="_run")
     # the end that counts for a head is the one of its first row (by id)
     heads = (runs.where(F.col(B) == F.col("_run"))
-             .groupBy("video_id", B).agg(F.min_by(E, ID).alias("_e_first")))
+             .groupBy("video_id", B).agg(F.min_by(F.col(E), F.struct(*(c for c in (ID, "source") if c in runs.columns))).alias("_e_first")))
     starts = _fold_heads(heads, gap_ms)
     return runs.join(starts, ["video_id", "_run"]).drop("_run")
 
@@ -80,7 +80,8 @@ def session_window_summary(m: DataFrame, gap_ms: int, label: str = "class3_name"
     """``reach='max'`` clusters through ``session_window`` on media time used
     as event time: each row spans [begin, end + gap).  Same output as
     ``session_summary``; Spark merges sessions partially before the shuffle,
-    so a hot video is combined map-side."""
+    but the partial groups are keyed by each row's own window, so a video's
+    sessions merge in one task; batch jobs use the bucketed ``reach='max'``."""
     ts = media_time(B)
     gap = gap_interval(B, E, gap_ms)
     return (m.withColumn("_ts", ts)

@@ -8,6 +8,7 @@ lists become ``'|'``-joined text in list order, the label -> image map
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,6 +63,40 @@ def _narrow(spark, sf):
     return N.normalize(inp.detections, inp.labels)
 
 
+def _dirty_inputs(spark, sf):
+    """The fixtures with null labels and videos, negative begins, ends before
+    begins, null offsets and ids that repeat across sources."""
+    inp = _inputs(spark, sf)
+    n = F.col("detection_id")
+    det = inp.detections.select(
+        F.when(n % 19 == 0, None).otherwise(F.col("media_id")).alias("media_id"),
+        F.when(n % 11 == 0, 6).when(n % 29 == 0, 7).otherwise(F.col("class_id")).cast("bigint").alias("class_id"),
+        F.when(n % 13 == 0, -1000).otherwise(F.col("time_start")).cast("bigint").alias("time_start"),
+        F.when(n % 17 == 0, -2000).when(n % 23 == 0, None).otherwise(F.col("time_end")).cast("bigint").alias("time_end"),
+        "object_img", F.floor(n / 4).cast("bigint").alias("detection_id"), "source")
+    extra = inp.labels.sparkSession.createDataFrame(
+        [(6, "2", "place", None), (7, "9", "odd", "odd")],
+        "class_id bigint, class_type string, class1_name string, class2_name string")
+    return replace(inp, detections=det, labels=inp.labels.unionByName(extra))
+
+
+def clips_multi_dirty(spark, sf):
+    return flat(jobs.clips_multi(_dirty_inputs(spark, sf), version=2))
+
+
+def clips_single_dirty(spark, sf):
+    return flat(jobs.clips_single(_dirty_inputs(spark, sf)))
+
+
+def clips_scene_dirty(spark, sf):
+    return flat(jobs.clips_scene(_dirty_inputs(spark, sf)))
+
+
+def rejected_counts(spark, sf):
+    inp = _dirty_inputs(spark, sf)
+    return N.rejected_counts(inp.detections, inp.labels)
+
+
 def _known(df, spark, sf):
     """Keep rows of videos present in the video table (checked on the
     operator's output, which is smaller than its input)."""
@@ -242,6 +277,10 @@ QUERIES: dict[str, Query] = {
     "sessions_last": sessions_last,
     "sessions_max": sessions_max,
     "sessions_window": sessions_window,
+    "clips_single_dirty": clips_single_dirty,
+    "clips_multi_dirty": clips_multi_dirty,
+    "clips_scene_dirty": clips_scene_dirty,
+    "rejected_counts": rejected_counts,
     "clips_multi_v1": _multi(1),
     "clips_multi_v2": _multi(2),
     "clips_multi_v3": _multi(3),

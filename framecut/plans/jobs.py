@@ -1,8 +1,8 @@
 """Q1-Q9: the clip jobs as DataFrame compositions.
 
 ``load -> normalize -> clips_single | clips_multi | clips_scene ->
-documents``; each arrow is a ``DataFrame -> DataFrame`` function, so one
-Catalyst plan runs from the scans to the sink.  ``video_ids`` (a DataFrame
+documents``; each arrow is a ``DataFrame -> DataFrame`` function, run
+by the caller's action; ordered scans materialise their windowed rows.  ``video_ids`` (a DataFrame
 of ``video_id``) restricts every kind to the requested videos (T5).
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from framecut.operators import documents as D
 from framecut.operators.merge import merge_same_label, pad
-from framecut.operators.normalize import for_videos, known_videos, normalize
+from framecut.operators.normalize import for_videos, known_videos, labelled, normalize
 from framecut.operators.scenes import contained_in_scenes, fold_scene, screen_time, top_labels
 from framecut.operators.sessions import START, assign_sessions
 from framecut.params import Params
@@ -32,7 +32,7 @@ def single_clips(det: DataFrame, p: Params = Params()) -> DataFrame:
 
     After merging, the intervals of one (video, label) are disjoint, so the
     reference's per-label sweep gives exactly one fragment per interval."""
-    merged = merge_same_label(det, gap_ms=0, pad_ms=p.pad_ms, reach=p.reach, bucket_ms=p.bucket_ms)
+    merged = merge_same_label(labelled(det), gap_ms=0, pad_ms=p.pad_ms, reach=p.reach, bucket_ms=p.bucket_ms)
     clips = pad(merged, p.context_ms)
     clips = clips.where(F.col(E) - F.col(B) >= p.min_clip_ms)
     return clips.select("video_id", B, E, F.array(D.member_struct()).alias("members"))
@@ -87,8 +87,8 @@ def clips_scene(inp: Inputs, p: Params = Params(), tagged: bool = False,
 
 def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | None = None) -> DataFrame:
     """Q8 / Q9 (U3): typed single clips, multi v3 and tagged scene clips in one
-    DataFrame with a ``kind`` column and a stable ``clip_id``.  The detections
-    are normalized once and shared by the three branches."""
+    DataFrame with a ``kind`` column and a stable ``clip_id``.  Each of the
+    three branches scans and normalizes the detections."""
     det = detections(inp, video_ids)
     single = D.single_documents(single_clips(det, p), inp.videos, typed=True)
     multi = D.multi_documents(multi_clusters(det, p), inp.videos, version=3)

@@ -12,7 +12,8 @@ from framecut.params import CONTEXT_MS, GAP_MS, MIN_CLIP_MS, PAD_MS, TOP_K
 
 OFFSET = "CAST(date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) AS BIGINT)"
 ORD = "ORDER BY b, detection_id"
-FIRST_ATTRS = ", ".join(f"first({c} {ORD}) AS {c}" for c in
+ROW_ORD = ORD + ", source"
+FIRST_ATTRS = ", ".join(f"first({c} {ROW_ORD}) AS {c}" for c in
                         ("class2_name", "class_type_id", "ad_seat_img", "detection_id", "source"))
 
 BASE = f"""
@@ -50,8 +51,8 @@ nar AS (
          l.class2_name AS class3_name, d.time_start AS ad_seat_b_time, d.time_end AS ad_seat_e_time,
          d.object_img AS ad_seat_img, d.detection_id, d.source
   FROM det d JOIN lab l ON d.class_id = l.class_id
-  WHERE d.media_id IS NOT NULL AND l.class2_name IS NOT NULL AND d.time_start IS NOT NULL
-    AND d.time_end IS NOT NULL AND d.time_end >= d.time_start AND d.time_start >= 0
+  WHERE d.media_id IS NOT NULL AND d.time_start IS NOT NULL
+    AND d.time_end IS NOT NULL AND d.time_end >= d.time_start
     AND d.media_id IN (SELECT videoId FROM vid)),
 enr AS (
   SELECT d.media_id AS video_id, v.videoName AS media_name, v.category AS drama_name,
@@ -70,10 +71,10 @@ def merge_cte(name: str, src: str, gap: int, pad_ms: int, reach: str) -> str:
     """Islands per (video, label) in (begin, detection_id) order."""
     b = f"greatest(ad_seat_b_time - {pad_ms}, 0)" if pad_ms else "ad_seat_b_time"
     e = f"ad_seat_e_time + {pad_ms}" if pad_ms else "ad_seat_e_time"
-    part = f"PARTITION BY video_id, class3_name {ORD}"
+    part = f"PARTITION BY video_id, class3_name {ROW_ORD}"
     prev = (f"lag(e) OVER ({part})" if reach == "last"
             else f"max(e) OVER ({part} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    end = f"last(e {ORD})" if reach == "last" else "max(e)"
+    end = f"last(e {ROW_ORD})" if reach == "last" else "max(e)"
     return f"""
 {name}_p AS (
   SELECT video_id, class3_name, {b} AS b, {e} AS e, class2_name, class_type_id, ad_seat_img, detection_id, source
@@ -363,3 +364,32 @@ def json_sql() -> str:
 
 
 ORACLE_SQL["clips_json"] = json_sql()
+
+
+def _dirty(sql: str) -> str:
+    """A query over the dirty fixtures: the same SQL with other ``det`` and ``lab``."""
+    sql = sql.replace("det AS (", "det0 AS (", 1).replace("lab AS (", """det AS (
+  SELECT CASE WHEN detection_id % 19 = 0 THEN NULL ELSE media_id END AS media_id,
+         CAST(CASE WHEN detection_id % 11 = 0 THEN 6 WHEN detection_id % 29 = 0 THEN 7 ELSE class_id END AS BIGINT)
+           AS class_id,
+         CAST(CASE WHEN detection_id % 13 = 0 THEN -1000 ELSE time_start END AS BIGINT) AS time_start,
+         CAST(CASE WHEN detection_id % 17 = 0 THEN -2000 WHEN detection_id % 23 = 0 THEN NULL ELSE time_end END
+           AS BIGINT) AS time_end,
+         object_img, detection_id // 4 AS detection_id, source
+  FROM det0),
+lab AS (""", 1)
+    return sql.replace("(5, '1', 'thing', 'view'))", "(5, '1', 'thing', 'view'), (6, '2', 'place', NULL), (7, '9', 'odd', 'odd'))", 1)
+
+
+ORACLE_SQL["clips_multi_dirty"] = _dirty(ORACLE_SQL["clips_multi_v2"])
+ORACLE_SQL["clips_scene_dirty"] = _dirty(ORACLE_SQL["clips_scene"])
+ORACLE_SQL["clips_single_dirty"] = _dirty(ORACLE_SQL["clips_single"]).replace(
+    "    AND d.media_id IN (SELECT videoId FROM vid)),", "    AND l.class2_name IS NOT NULL AND d.media_id IN (SELECT videoId FROM vid)),", 1)
+ORACLE_SQL["rejected_counts"] = _dirty(with_()) + """
+SELECT reason, count(*) AS n_rows FROM (
+  SELECT CASE WHEN media_id IS NULL THEN 'null_video' WHEN time_start IS NULL OR time_end IS NULL THEN 'null_offset'
+              WHEN time_end < time_start THEN 'ends_before_begin' END AS r, class2_name, class_type,
+         unnest([r, CASE WHEN r IS NULL AND class2_name IS NULL THEN 'null_label' END,
+                 CASE WHEN r IS NULL AND class_type NOT IN ('1', '2', '3', '4') THEN 'unknown_type' END]) AS reason
+  FROM det JOIN lab USING (class_id))
+WHERE reason IS NOT NULL GROUP BY reason"""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
@@ -79,15 +77,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder; it is used as
-    it is.  Only when nothing is set (a local test session) a folder of our own
-    is created.
+    it is.  Only when nothing is set (a local test session) a folder in the
+    warehouse is used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="framecut-ckpt-")
-    sc.setCheckpointDir(conf_dir)
+    sc.setCheckpointDir(conf_dir or spark.conf.get("spark.sql.warehouse.dir") + "/framecut-checkpoints")
     return sc.getCheckpointDir()

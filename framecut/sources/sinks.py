@@ -19,8 +19,10 @@ from pyspark.sql.utils import AnalysisException
 def _existing_ids(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     try:
         return spark.read.format(fmt).load(path).select("clip_id")
-    except AnalysisException:
-        return None
+    except AnalysisException as e:  # only a target that does not exist yet is empty
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def append_new(docs: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = "kind",
@@ -30,6 +32,7 @@ def append_new(docs: DataFrame, path: str, fmt: str = "parquet", partition_by: s
     no second pass)."""
     spark = docs.sparkSession
     old = _existing_ids(spark, path, fmt)
+    docs = docs.dropDuplicates(["clip_id"])
     new = docs if old is None else docs.join(old, "clip_id", "left_anti")
     obs = Observation("written")
     new = new.observe(obs, F.count(F.lit(1)).alias("documents"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framecut import schemas
@@ -58,6 +58,14 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return spark.read.format(fmt).options(**(options or {})).load(path)
 
 
+def row_id(df: DataFrame) -> Column:
+    """The numeric ``detection_id``; for text ids, null ids and tables without
+    the column a hash of the row, so that an order by it is never null."""
+    given = F.col("detection_id").cast("string") if "detection_id" in df.columns else F.lit(None).cast("string")
+    return F.coalesce(given.try_cast("bigint"), F.xxhash64(
+        given, *(F.col(c).cast("string") for c in ("media_id", "class_id", "time_start", "time_end", "object_img"))))
+
+
 def detection_scan(df: DataFrame, source: str) -> DataFrame:
     """Project one detection table to the common columns, cast the
     offsets once (``try_cast``: bad text becomes null and is rejected later)
@@ -68,7 +76,7 @@ def detection_scan(df: DataFrame, source: str) -> DataFrame:
         F.col("time_start").try_cast("bigint").alias("time_start"),
         F.col("time_end").try_cast("bigint").alias("time_end"),
         F.col("object_img").cast("string").alias("object_img"),
-        F.col("detection_id").try_cast("bigint").alias("detection_id"),
+        row_id(df).alias("detection_id"),
         F.lit(source).alias("source"),
     ]
     return df.select(*cols)

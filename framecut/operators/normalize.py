@@ -152,14 +152,18 @@ def assert_unique_videos(videos: DataFrame) -> DataFrame:
 def pending(det: DataFrame, tasks: DataFrame) -> DataFrame:
     """S7 + P4 + J4: detections of videos with a pending task (semi join, so a
     duplicate task row never multiplies detections)."""
-    ids = pending_tasks(tasks).select("video_id")
-    return det.join(ids, "video_id", "left_semi")
+    return for_videos(det, pending_tasks(tasks))
 
 
-def for_videos(det: DataFrame, video_ids: DataFrame) -> DataFrame:
-    """Detections of the requested videos, given as a DataFrame of
-    ``video_id`` (never string-built SQL)."""
-    return det.join(video_ids.select("video_id"), "video_id", "left_semi")
+def for_videos(det: DataFrame, video_ids: DataFrame | list[str]) -> DataFrame:
+    """Detections of the requested videos (never string-built SQL).
+
+    A list of ids becomes a filter that reaches the scan.  A DataFrame of
+    ``video_id`` is broadcast after a row count check, so detections are
+    filtered where they are read; a longer one is joined by a shuffle."""
+    if not isinstance(video_ids, DataFrame):
+        return det.where(F.col("video_id").isin(list(video_ids)))
+    return det.join(broadcast_checked(video_ids.select("video_id").distinct()), "video_id", "left_semi")
 
 
 def exclude_suffix(det: DataFrame, videos: DataFrame, suffix: str = ".ts") -> DataFrame:

@@ -92,6 +92,18 @@ def clips_scene_dirty(spark, sf):
     return flat(jobs.clips_scene(_dirty_inputs(spark, sf)))
 
 
+def clips_union_v2(spark, sf):
+    """Q5: single and multi v2 documents together."""
+    return jobs.clips_union(_inputs(spark, sf)).select("kind", "clip_id", "string_vid", "string_time")
+
+
+def clips_all_for_videos(spark, sf):
+    """Q9: all kinds for the requested videos."""
+    inp = _inputs(spark, sf)
+    ids = inp.videos.where(F.col("category") == REQUEST_SEGMENT).select(F.col("videoId").alias("video_id"))
+    return jobs.clips_all(inp, video_ids=ids).select("kind", "clip_id", "string_vid", "string_time")
+
+
 def rejected_counts(spark, sf):
     inp = _dirty_inputs(spark, sf)
     return N.rejected_counts(inp.detections, inp.labels)
@@ -281,6 +293,8 @@ QUERIES: dict[str, Query] = {
     "clips_multi_dirty": clips_multi_dirty,
     "clips_scene_dirty": clips_scene_dirty,
     "rejected_counts": rejected_counts,
+    "clips_union_v2": clips_union_v2,
+    "clips_all_for_videos": clips_all_for_videos,
     "clips_multi_v1": _multi(1),
     "clips_multi_v2": _multi(2),
     "clips_multi_v3": _multi(3),

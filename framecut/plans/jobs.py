@@ -2,8 +2,8 @@
 
 ``load -> normalize -> clips_single | clips_multi | clips_scene ->
 documents``; each arrow is a ``DataFrame -> DataFrame`` function, run
-by the caller's action; ordered scans materialise their windowed rows.  ``video_ids`` (a DataFrame
-of ``video_id``) restricts every kind to the requested videos (T5).
+by the caller's action; ordered scans materialise their windowed rows.  ``video_ids`` (a list, or a
+DataFrame of ``video_id``) restricts every kind to the requested videos (T5).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from framecut.sources.tables import Inputs
 B, E = "ad_seat_b_time", "ad_seat_e_time"
 
 
-def detections(inp: Inputs, video_ids: DataFrame | None = None) -> DataFrame:
+def detections(inp: Inputs, video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     det = normalize(inp.detections, inp.labels)
     return for_videos(det, video_ids) if video_ids is not None else det
 
@@ -48,7 +48,7 @@ def multi_clusters(det: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def scene_folds(inp: Inputs, det: DataFrame, p: Params = Params(),
-                video_ids: DataFrame | None = None) -> DataFrame:
+                video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """J5 -> A4 -> W1/W2 -> A6.  ``det`` must be all detections when
     ``p.scope='scene'``: the ranking then compares all videos that share the
     scene bounds, so a video restriction is applied to the ranked rows, and a
@@ -61,31 +61,31 @@ def scene_folds(inp: Inputs, det: DataFrame, p: Params = Params(),
     return fold_scene(top)
 
 
-def _scene_detections(inp: Inputs, p: Params, video_ids: DataFrame | None) -> DataFrame:
+def _scene_detections(inp: Inputs, p: Params, video_ids: DataFrame | list[str] | None) -> DataFrame:
     return detections(inp, None if p.scope == "scene" else video_ids)
 
 
 def clips_single(inp: Inputs, p: Params = Params(), typed: bool = False,
-                 video_ids: DataFrame | None = None) -> DataFrame:
+                 video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """Q1/Q2 (D1), or the typed form of Q8."""
     return D.single_documents(single_clips(detections(inp, video_ids), p), inp.videos, typed)
 
 
 def clips_multi(inp: Inputs, p: Params = Params(), version: int = 2,
-                video_ids: DataFrame | None = None) -> DataFrame:
+                video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """Q3 (v1), Q5 (v2), Q8 (v3)."""
     return D.multi_documents(multi_clusters(detections(inp, video_ids), p), inp.videos, version)
 
 
 def clips_scene(inp: Inputs, p: Params = Params(), tagged: bool = False,
-                video_ids: DataFrame | None = None) -> DataFrame:
+                video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """Q7 (D6) and the scene part of Q8 (D7).  Unlike the reference, a video
     restriction applies to the scene part as well (to its output)."""
     folds = scene_folds(inp, _scene_detections(inp, p, video_ids), p, video_ids)
     return D.scene_documents(folds, inp.videos, tagged)
 
 
-def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | None = None) -> DataFrame:
+def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """Q8 / Q9 (U3): typed single clips, multi v3 and tagged scene clips in one
     DataFrame with a ``kind`` column and a stable ``clip_id``.  Each of the
     three branches scans and normalizes the detections."""
@@ -101,3 +101,12 @@ def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | None = N
         part = part.withColumn("kind", F.lit(kind))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
+
+
+def clips_union(inp: Inputs, p: Params = Params(), version: int = 2,
+                video_ids: DataFrame | list[str] | None = None) -> DataFrame:
+    """Q5 / Q6: single-label and multi-label documents in one DataFrame with
+    their ``kind`` and ``clip_id``."""
+    single = D.with_clip_id(clips_single(inp, p, video_ids=video_ids), "single").withColumn("kind", F.lit("single"))
+    multi = D.with_clip_id(clips_multi(inp, p, version, video_ids), "multi").withColumn("kind", F.lit("multi"))
+    return single.unionByName(multi, allowMissingColumns=True)

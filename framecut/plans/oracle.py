@@ -393,3 +393,9 @@ SELECT reason, count(*) AS n_rows FROM (
                  CASE WHEN r IS NULL AND class_type NOT IN ('1', '2', '3', '4') THEN 'unknown_type' END]) AS reason
   FROM det JOIN lab USING (class_id))
 WHERE reason IS NOT NULL GROUP BY reason"""
+
+ORACLE_SQL["clips_union_v2"] = (
+    f"SELECT kind, clip_id, string_vid, string_time FROM ({all_sql()}) WHERE kind IN ('single', 'multi')")
+ORACLE_SQL["clips_all_for_videos"] = (
+    f"SELECT kind, clip_id, string_vid, string_time FROM ({all_sql()}) WHERE string_vid IN "
+    "(SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'AUTOMOBILE')")

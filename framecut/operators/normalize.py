@@ -90,7 +90,10 @@ def reject_reason() -> Column:
 def split_valid(det: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that the interval operators can take, and the rest with a ``reason``."""
     reason = reject_reason()
-    return det.where(reason.isNull()), det.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    # the same condition as a conjunction, which reaches the scan
+    ok = (F.col("video_id").isNotNull() & F.col("ad_seat_b_time").isNotNull() & F.col("ad_seat_e_time").isNotNull()
+          & (F.col("ad_seat_e_time") >= F.col("ad_seat_b_time")))
+    return det.where(ok), det.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
 def labelled(det: DataFrame) -> DataFrame:

@@ -123,8 +123,10 @@ def with_clip_id(docs: DataFrame, kind: str | Column) -> DataFrame:
     """K1: a stable id, so that writing the same clip twice can be detected:
     sha2 of kind, video, time range and the level-3 labels."""
     k = F.lit(kind) if isinstance(kind, str) else kind
-    labels = F.coalesce(F.array_join(F.col("string_class3_list"), "\x1e"), F.lit(""))
-    key = F.concat_ws("\x1f", k, F.col("string_vid"), F.col("string_time"), labels)
+    lists = (["string_class3_list"] if "string_class3_list" in docs.columns
+             else [f"string_{P.TYPED_LIST_NAMES[c]}_list" for c in TYPED_ORDER])  # D3 has typed lists only
+    labels = [F.coalesce(F.array_join(c, "\x1e"), F.lit("")) for c in lists]
+    key = F.concat_ws("\x1f", k, F.col("string_vid"), F.col("string_time"), *labels)
     return docs.withColumn("clip_id", F.sha2(key, 256))
 
 

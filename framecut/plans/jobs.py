@@ -103,6 +103,11 @@ def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str
     return out
 
 
+def multi_v1(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None) -> DataFrame:
+    """Q4: multi-label documents of the first form with their ``kind`` and ``clip_id``."""
+    return D.with_clip_id(clips_multi(inp, p, 1, video_ids), "multi").withColumn("kind", F.lit("multi"))
+
+
 def clips_union(inp: Inputs, p: Params = Params(), version: int = 2,
                 video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """Q5 / Q6: single-label and multi-label documents in one DataFrame with

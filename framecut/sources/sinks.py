@@ -8,6 +8,7 @@ through the driver.
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -43,6 +44,36 @@ def append_new(docs: DataFrame, path: str, fmt: str = "parquet", partition_by: s
     return obs
 
 
+def replace_videos(docs: DataFrame, video_ids: DataFrame, path: str) -> int:
+    """K1 for rounds: the documents of ``video_ids`` become exactly ``docs``;
+    returns the number written.
+
+    Documents are appended under a new round id, then the round's videos go to
+    the table of rounds: only that makes the new version visible, so readers
+    of ``current_documents`` see one version of a video, and a round that
+    fails half-way shows nothing.  One writer at a time for a path."""
+    spark = docs.sparkSession
+    try:
+        last = spark.read.parquet(f"{path}/rounds").agg(F.max("round")).first()[0]
+    except AnalysisException as e:  # only a target that does not exist yet is empty
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    this = f"{int(last.split('-')[0]) + 1 if last else 1:012d}-{uuid.uuid4().hex}"
+    obs = Observation("written")
+    (docs.dropDuplicates(["clip_id"]).withColumn("round", F.lit(this))
+     .observe(obs, F.count(F.lit(1)).alias("documents")).write.mode("append").parquet(f"{path}/documents"))
+    (video_ids.select(F.col("video_id").alias("string_vid"), F.lit(this).alias("round"))
+     .write.mode("append").parquet(f"{path}/rounds"))
+    return int(obs.get.get("documents", 0))
+
+
+def current_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of every video as its latest round left them."""
+    latest = spark.read.parquet(f"{path}/rounds").groupBy("string_vid").agg(F.max("round").alias("round"))
+    return spark.read.parquet(f"{path}/documents").join(latest, ["string_vid", "round"], "left_semi").drop("round")
+
+
 def write_json(docs: DataFrame, path: str, mode: str = "append") -> None:
     """K1 for a plain JSON-lines target."""
     docs.write.mode(mode).json(path)

@@ -1,9 +1,21 @@
-"""Pending-work rounds.
+"""Pending-work rounds.
 
-A round takes the videos whose task is pending, computes their clips with
-the batch jobs, writes the documents (with a stable ``clip_id``, so a
-repeated round adds nothing) and only then marks every pending video of the
-round done, also those that produced no clip.
+A round
+
+1. opens its inputs anew (``open_inputs`` is a callable, so files that landed
+   since the last round are read),
+2. fixes the ids of its pending videos once, in a table under ``work_dir`` (a
+   folder that driver and executors share),
+3. computes their documents with ``job`` and makes them the current version of
+   those videos (``sinks.replace_videos``), and only then
+4. hands exactly these ids to ``mark``, also the videos without a clip.
+
+A task that becomes pending during the round stays pending.  A round that
+fails before 4 leaves its videos pending, and the next one replaces whatever
+it wrote.  ``job`` is any of ``jobs.clips_all`` (Q8), ``jobs.clips_union`` (Q6)
+and ``jobs.multi_v1`` (Q4).  With ``scope='scene'`` the scene ranking spans all
+videos, so a new video can change scene clips of videos already done; rounds
+leave those as they are, a batch run brings them up to date.
 
 ``pending_stream`` runs rounds with Structured Streaming: the task table is
 a file stream of task rows, each micro-batch is one round (``foreachBatch``),
@@ -12,15 +24,21 @@ and the stream's checkpoint records which task files were handled.
 
 from __future__ import annotations
 
+import uuid
+from typing import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framecut import schemas
 from framecut.params import Params
+from framecut.plans.jobs import clips_all
 from framecut.session import release
-from framecut.sources.sinks import append_new
+from framecut.sources.sinks import replace_videos
 from framecut.sources.tables import Inputs, pending_tasks
 
+Mark = Callable[[DataFrame], None]
+
 
 def mark_processed(tasks: DataFrame, processed: DataFrame) -> DataFrame:
     """The task table after a round: status 1 for every
@@ -31,35 +49,59 @@ def mark_processed(tasks: DataFrame, processed: DataFrame) -> DataFrame:
                     .cast("int").alias("status"))
 
 
-def run_round(inp: Inputs, docs_path: str, tasks_out: str, p: Params = Params(),
-              fmt: str = "parquet") -> int:
-    """One round over ``inp.tasks``: write the new clips of all pending
-    videos, then the task table with those videos marked done (written to
-    ``tasks_out``, a new version; the caller swaps it in).  Returns the number
-    of documents written."""
-    from framecut.plans.jobs import clips_all
-    ids = pending_tasks(inp.tasks).select("video_id")
-    obs = append_new(clips_all(inp, p, video_ids=ids), docs_path, fmt)
-    release(ids.sparkSession)
-    mark_processed(inp.tasks, ids).write.mode("overwrite").parquet(tasks_out)
-    return int(obs.get.get("documents", 0))
+def new_task_version(open_tasks: Callable[[], DataFrame], out: str) -> Mark:
+    """A ``mark`` for a task table in files: the table as it is after the
+    round, with the round's videos done, goes to ``out`` (the caller swaps it
+    in).  A database gets a ``mark`` of the caller's that upserts the ids."""
+    def mark(ids: DataFrame) -> None:
+        mark_processed(open_tasks(), ids).write.mode("overwrite").parquet(out)
+    return mark
+
+
+def _fixed(pending: DataFrame, work_dir: str) -> DataFrame:
+    """The ids of a round, written once, so that every later use reads the same."""
+    path = f"{work_dir}/pending-{uuid.uuid4().hex}"
+    pending.select("video_id").distinct().write.parquet(path)
+    return pending.sparkSession.read.parquet(path)
+
+
+def _round(pending: DataFrame, inp: Inputs, docs_path: str, mark: Mark, work_dir: str,
+           job: Callable[..., DataFrame], p: Params) -> int:
+    ids = _fixed(pending, work_dir)
+    if ids.isEmpty():
+        return 0
+    release(ids.sparkSession)  # rows that an earlier job kept may be older than the inputs
+    try:
+        written = replace_videos(job(inp, p, video_ids=ids), ids, docs_path)
+    finally:
+        release(ids.sparkSession)
+    mark(ids)
+    return written
+
+
+def run_round(open_inputs: Callable[[], Inputs], docs_path: str, mark: Mark, work_dir: str,
+              job: Callable[..., DataFrame] = clips_all, p: Params = Params()) -> int:
+    """One round over the pending tasks; returns the number of documents written (K6)."""
+    inp = open_inputs()
+    return _round(pending_tasks(inp.tasks), inp, docs_path, mark, work_dir, job, p)
 
 
-def pending_stream(spark: SparkSession, inp: Inputs, task_dir: str, docs_path: str,
-                   checkpoint: str, p: Params = Params(), trigger: dict | None = None,
-                   fmt: str = "parquet"):
+def pending_stream(spark: SparkSession, open_inputs: Callable[[], Inputs], task_dir: str, docs_path: str,
+                   checkpoint: str, mark: Mark, work_dir: str, job: Callable[..., DataFrame] = clips_all,
+                   p: Params = Params(), trigger: dict | None = None,
+                   on_round: Callable[[int, int], None] | None = None):
     """A streaming query over new task files in ``task_dir`` (rows
-    ``video_id, status``); every micro-batch computes and appends the clips of
-    its pending videos.  ``trigger`` defaults to ``availableNow`` (process
-    what is there, then stop); use ``{"processingTime": "5 seconds"}`` to keep
-    polling like the reference loop."""
-    from framecut.plans.jobs import clips_all
+    ``video_id, status``); every micro-batch is a round over its pending
+    videos, and ``on_round(epoch, documents)`` receives its count (K6).
+    ``trigger`` defaults to ``availableNow`` (process what is there, then
+    stop); use ``{"processingTime": "5 seconds"}`` to keep polling like the
+    reference loop.  A repeated micro-batch replaces what it wrote before."""
     tasks = spark.readStream.schema(schemas.TASK).parquet(task_dir)
 
     def round_(batch: DataFrame, epoch: int) -> None:
-        ids = pending_tasks(batch).select("video_id").distinct()
-        append_new(clips_all(inp, p, video_ids=ids), docs_path, fmt)
-        release(batch.sparkSession)  # a long-running stream keeps no round's rows
+        n = _round(pending_tasks(batch), open_inputs(), docs_path, mark, work_dir, job, p)
+        if on_round:
+            on_round(epoch, n)
 
     return (tasks.writeStream.foreachBatch(round_)
             .option("checkpointLocation", checkpoint)

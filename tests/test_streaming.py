@@ -1,34 +1,71 @@
 """Incremental = batch: pending rounds and streaming sessions."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
-from framecut import schemas
 from framecut.operators.merge import merge_same_label
 from framecut.operators.normalize import normalize
 from framecut.operators.sessions import assign_sessions, session_summary
 from framecut.plans import jobs
+from framecut.session import release
 from framecut.sources import fixtures
+from framecut.sources.sinks import current_documents
 from framecut.sources.tables import Inputs
-from framecut.streaming.pending import pending_stream, run_round
+from framecut.streaming.pending import new_task_version, pending_stream, run_round
 from framecut.streaming.sessions import stream_sessions
 from tests.conftest import SF001
 
+DET = "media_id string, class_id long, time_start long, time_end long, object_img string, detection_id string"
+TASK = "video_id string, status int"
 
-def test_round_then_rerun_adds_nothing(spark, scratch):
+
+def _ignore(ids):
+    pass
+
+
+def _open(spark, root):
+    """Inputs that are read from ``root`` at every call."""
+    def opened() -> Inputs:
+        labels = spark.createDataFrame([(1, "1", "a", "x"), (2, "2", "b", "y")],
+                                       "class_id long, class_type string, class1_name string, class2_name string")
+        videos = spark.createDataFrame(
+            [(v, "n", "c", "k", "r", "2024", "u.mp4") for v in "vw"],
+            "videoId string, videoName string, category string, classify string, area string, releaseTime string, "
+            "originalUrl string")
+        return Inputs({"face": spark.read.schema(DET).parquet(f"{root}/face")}, labels, videos,
+                      tasks=spark.read.schema(TASK).parquet(f"{root}/tasks"))
+    return opened
+
+
+def _add(spark, root, detections=(), tasks=(), mode="append"):
+    if detections:
+        spark.createDataFrame(list(detections), DET).coalesce(1).write.mode(mode).parquet(f"{root}/face")
+    if tasks:
+        spark.createDataFrame(list(tasks), TASK).coalesce(1).write.mode("append").parquet(f"{root}/tasks")
+
+
+def _same_as_batch(spark, docs, opened, job=jobs.clips_union):
+    release(spark)
+    batch = job(opened())
+    got = current_documents(spark, docs).select(*batch.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.collect()))
+    release(spark)
+    return got
+
+
+def test_round_then_rerun_replaces(spark, scratch):
     inp = fixtures.inputs(spark, SF001)
     docs, tasks_out = os.path.join(scratch, "docs"), os.path.join(scratch, "tasks1")
-    n1 = run_round(inp, docs, tasks_out)
+    n1 = run_round(lambda: inp, docs, new_task_version(lambda: inp.tasks, tasks_out), scratch)
     pending_ids = inp.tasks.where("status = 0").select("video_id")
-    expected = jobs.clips_all(inp, video_ids=pending_ids).count()
-    assert n1 == expected > 0
+    assert n1 == jobs.clips_all(inp, video_ids=pending_ids).count() > 0
     after = spark.read.parquet(tasks_out)
     assert after.where("status = 0").count() == 0
     assert after.count() == inp.tasks.count()
-    n2 = run_round(inp, docs, os.path.join(scratch, "tasks2"))
-    assert n2 == 0
-    assert spark.read.parquet(docs).count() == expected
+    assert run_round(lambda: inp, docs, _ignore, scratch) == n1
+    assert current_documents(spark, docs).count() == n1
 
 
 def test_rounds_equal_batch(spark, scratch):
@@ -38,24 +75,62 @@ def test_rounds_equal_batch(spark, scratch):
     t1 = all_ids.select("video_id", (F.abs(F.hash("video_id")) % 2).cast("int").alias("status"))
     t2 = all_ids.select("video_id", (1 - F.abs(F.hash("video_id")) % 2).cast("int").alias("status"))
     docs = os.path.join(scratch, "docs")
-    for i, t in enumerate((t1, t2)):
-        run_round(Inputs(inp.detections, inp.labels, inp.videos, inp.scenes, t), docs,
-                  os.path.join(scratch, f"t{i}"))
+    for t in (t1, t2):
+        run_round(lambda: Inputs(inp.detections, inp.labels, inp.videos, inp.scenes, t), docs, _ignore, scratch)
     batch = jobs.clips_all(inp).select("clip_id")
-    got = spark.read.parquet(docs).select("clip_id")
+    got = current_documents(spark, docs).select("clip_id")
     assert got.count() == batch.count()
     assert got.exceptAll(batch).count() == 0
 
 
-def test_pending_stream_foreach_batch(spark, scratch):
-    inp = fixtures.inputs(spark, SF001)
-    task_dir = os.path.join(scratch, "tasks")
-    inp.tasks.write.parquet(task_dir)
-    docs = os.path.join(scratch, "docs")
-    q = pending_stream(spark, inp, task_dir, docs, os.path.join(scratch, "ckpt"))
-    q.awaitTermination(300)
-    pending_ids = inp.tasks.where("status = 0").select("video_id")
-    assert spark.read.parquet(docs).count() == jobs.clips_all(inp, video_ids=pending_ids).count()
+def test_changed_detections_and_images_replace_the_documents(spark, scratch):
+    opened, docs = _open(spark, scratch), scratch + "/docs"
+    first = [("v", 1, 5_000, 9_000, "i", "1"), ("w", 2, 0, 8_000, "k", "2")]
+    _add(spark, scratch, first, [("v", 0), ("w", 0)])
+    run_round(opened, docs, _ignore, scratch, jobs.clips_union)
+    _same_as_batch(spark, docs, opened)
+    _add(spark, scratch, [("v", 1, 8_000, 12_000, "j", "3")])
+    run_round(opened, docs, _ignore, scratch, jobs.clips_union)
+    _same_as_batch(spark, docs, opened)
+    _add(spark, scratch, [("v", 1, 5_000, 9_000, "new", "1")], mode="overwrite")  # w has no clip any more
+    run_round(opened, docs, _ignore, scratch, jobs.clips_union)
+    left = _same_as_batch(spark, docs, opened)
+    assert {r["string_vid"] for r in left.collect()} == {"v"}
+
+
+def test_a_task_that_arrives_during_a_round_stays_pending(spark, scratch):
+    opened = _open(spark, scratch)
+    _add(spark, scratch, [("v", 1, 5_000, 9_000, "i", "1"), ("w", 2, 0, 8_000, "k", "2")], [("v", 0)])
+
+    def job(inp, p, video_ids):
+        _add(spark, scratch, tasks=[("w", 0)])
+        return jobs.multi_v1(inp, p, video_ids)
+
+    out = scratch + "/tasks_out"
+    mark = new_task_version(lambda: spark.read.schema(TASK).parquet(scratch + "/tasks"), out)
+    assert run_round(opened, scratch + "/docs", mark, scratch, job) == 1
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [("v", 1), ("w", 0)]
+
+
+def test_stream_reads_what_lands_after_its_start(spark, scratch):
+    opened, docs, marked, counts = _open(spark, scratch), scratch + "/docs", [], []
+    _add(spark, scratch, [("v", 1, 5_000, 9_000, "i", "1")], [("v", 0)])
+    q = pending_stream(spark, opened, scratch + "/tasks", docs, scratch + "/ckpt",
+                       lambda ids: marked.extend(r["video_id"] for r in ids.collect()), scratch, jobs.clips_union,
+                       trigger={"processingTime": "1 second"}, on_round=lambda epoch, n: counts.append(n))
+    try:
+        until = time.time() + 300
+        while not counts and q.isActive and time.time() < until:
+            time.sleep(0.5)
+        assert marked == ["v"]
+        _add(spark, scratch, [("w", 2, 0, 8_000, "k", "2")], [("w", 0)])
+        while len(counts) < 2 and q.isActive and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert marked == ["v", "w"]
+    assert counts == [2, 2]
+    _same_as_batch(spark, docs, opened)
 
 
 def test_stream_sessions_subset_of_batch(spark, scratch):
@@ -75,7 +150,6 @@ def test_stream_sessions_subset_of_batch(spark, scratch):
 
 def test_release_drops_only_operator_caches(spark):
     from framecut.operators.ordered import shared
-    from framecut.session import release
     mine = spark.range(10).persist()
     mine.count()
     op = shared(spark.range(20).selectExpr("id * 2 AS x"))

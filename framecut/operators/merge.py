@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framecut.functions.intervals import padded_begin, padded_end
-from framecut.operators.ordered import islands
+from framecut.operators.ordered import LOCAL, islands
 from framecut.params import BUCKET_MS
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
@@ -51,11 +51,11 @@ def merge_same_label(det: DataFrame, gap_ms: int, pad_ms: int = 0, reach: str =
         F.count(F.lit(1)).alias("_n"),
     )
     end = "_e_last" if reach == "last" else "_e_max"
-    h = islands(g, keys, B, end, gap_ms, reach, bucket_ms, head="_head")
-    merged = h.groupBy(*keys, "_head").agg(
-        F.min_by("_row", B).alias("_row"),
-        (F.max_by("_e_last", B) if reach == "last" else F.max("_e_max")).alias(E),
-        F.sum("_n").alias("n_detections"),
-    )
+    merged = islands(
+        g, keys, B, end, gap_ms, reach, bucket_ms, head="_head",
+        partial=[F.min_by("_row", B).alias("_row"), F.sum("_n").alias("_n")],
+        final=[F.min_by("_row", LOCAL).alias("_row"),
+               (F.max_by("_lend", LOCAL) if reach == "last" else F.max("_lend")).alias(E),
+               F.sum("_n").alias("n_detections")])
     out = merged.select(*keys, F.col("_head").alias(B), E, "_row.*", "n_detections")
     return out.withColumn("class3_name", F.nullif("class3_name", F.lit(NO_LABEL))) if null_label else out

@@ -1,48 +1,29 @@
-"""Ordered scans over media time that do not put a whole video in one task.
+"""Ordered scans over media time that do not put a whole video's rows in one task.
 
 A window ``partitionBy(video)`` would send every row of a hot video to one
 task.  Here the rows of a group are cut into media-time buckets of
-``width`` ms: row-level windows run per (group, bucket), and what crosses a
-bucket border is carried by a second window over the per-bucket summaries,
-which has one row per bucket (so per group at most media length / width
-rows).  The callers first reduce their input to one row per (group, t), so a
-bucket holds at most ``width`` rows however many copies the input has.
-
-All functions need the group keys to be non-null.  Rows should be unique on
-``keys + [t]``; rows sharing a ``t`` are allowed in ``islands`` when their
-order cannot matter: with ``reach='max'`` (if end >= t), or when ``end`` is
-``t`` itself.
-
-The row-level result is read twice (for the rows and for the bucket
-summaries); Catalyst prunes the two reads differently, so without a cut the
-whole upstream plan would run twice, and twice again for every nested use.
-``shared`` therefore persists the windowed rows (memory, spilling to the
-executors' local disks) and fills the cache at once.  The cached rows keep their hash partitioning on
-(group, bucket), so the summary aggregate and the join back read them
-without another shuffle: one full shuffle per scan.  Lost cached blocks are
-recomputed from the lineage; ``session.release`` drops the caches after the
-output is written.
+``width`` ms.  Row-level windows run per (group, bucket) and reduce the rows
+of a bucket, in the same partitioning, to one row per local island; a second
+step of the same kind runs per group over these few rows.  A local island
+starts more than ``gap`` after the end before it, so their number is bounded
+by media time.  The callers first reduce their input to one row per
+(group, t) where copies can occur, so a bucket holds at most ``width`` of them.
+
+Nothing is persisted, counted or joined back: a scan is one part of its
+caller's plan, and building it starts no job.
+
+All functions need the group keys and ``t`` to be non-null.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BK = "_bk"
-
-
-def shared(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once for several consumers.  It is persisted and
-    filled at once: only a filled cache tells the planner its partitioning
-    (an unfilled one reports none, and every reader would shuffle it)."""
-    from framecut.session import track
-    df = track(df.persist(StorageLevel.MEMORY_AND_DISK))
-    df.count()
-    return df
+LOCAL = "_local"
 
 
 def bucket_of(t: str | Column, width: int) -> Column:
@@ -50,91 +31,53 @@ def bucket_of(t: str | Column, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
-def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reach: str,
-            width: int, head: str = "head") -> DataFrame:
-    """Gaps and islands.  Adds ``head``: the ``t`` of the first row of the
-    island each row belongs to.
+def _with_head(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reach: str, head: str) -> DataFrame:
+    """Adds ``head``: the ``t`` of the first row of the island of each row
+    (one window partition per combination of ``keys``)."""
+    w = Window.partitionBy(*keys).orderBy(t)
+    prev = (F.lag(end).over(w) if reach == "last"
+            else F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    d = df.withColumn("_brk", prev.isNull() | (F.col(t) - prev > gap))
+    upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
+    return d.withColumn(head, F.max(F.when(F.col("_brk"), F.col(t))).over(upto_here)).drop("_brk")
+
+
+def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reach: str, width: int,
+            partial: Sequence[Column], final: Sequence[Column], head: str = "head") -> DataFrame:
+    """Gaps and islands, folded: one row (keys, ``head``, ``final``) per
+    island; ``head`` is the ``t`` of its first row.
 
     ``reach='last'``: a row opens an island when it is the first of its group
     or ``t - end(previous row) > gap``.
     ``reach='max'``: ... or ``t - max(end of all earlier rows) > gap``.
     Both boundaries are inclusive: a gap of exactly ``gap`` still joins.
+
+    ``partial`` aggregates the rows of a local island; ``final`` aggregates
+    those results, with ``_local`` (the local island's first ``t``) as their
+    order.  Rows may share a ``t`` when their order cannot matter: with
+    ``reach='max'`` (if end >= t), or when ``end`` is ``t`` itself.
     """
     if reach not in ("last", "max"):
         raise ValueError(f"reach must be 'last' or 'max', not {reach!r}")
     keys = list(keys)
-    tc = F.col(t)
-    if width is None:
-        return _islands_whole(df, keys, t, end, gap, reach, head)
-    d = df.withColumn(BK, bucket_of(t, width))
-    w = Window.partitionBy(*keys, BK).orderBy(t)
-    upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
-    prev = F.lag(end).over(w) if reach == "last" else F.max(end).over(upto_prev)
-    # local break: decided inside the bucket; the first row of a bucket is a
-    # candidate that the carry from earlier buckets confirms or not
-    d = d.withColumn("_lbrk", prev.isNull() | (tc - prev > gap))
-    d = shared(d.withColumn("_lhead", F.max(F.when(F.col("_lbrk"), tc)).over(upto_here)))
-
-    wb = Window.partitionBy(*keys).orderBy(BK)
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    s = d.groupBy(*keys, BK).agg(
-        F.min(tc).alias("_first"),
-        (F.max_by(end, t) if reach == "last" else F.max(end)).alias("_bend"),
-        F.max(F.when(F.col("_lbrk"), tc)).alias("_blast"),
-    )
-    if reach == "last":
-        carry = F.lag("_bend").over(wb)
-        first_real = carry.isNull() | (F.col("_first") - carry > gap)
-        bucket_head = (F.when(F.col("_blast") > F.col("_first"), F.col("_blast"))
-                       .when(first_real, F.col("_first")))
-    else:
-        carry = F.max("_bend").over(before)
-        first_real = F.lit(None).cast("boolean")
-        bucket_head = F.when(carry.isNull() | (F.col("_blast") - carry > gap), F.col("_blast"))
-    s = s.select(*keys, BK, "_first", carry.alias("_carry"), first_real.alias("_first_real"),
-                 bucket_head.alias("_bhead"))
-    s = s.select(*keys, BK, "_first", "_carry", "_first_real",
-                 F.max("_bhead").over(before).alias("_chead"))
-
-    j = d.join(s, on=[*keys, BK], how="inner")
-    if reach == "last":
-        h = (F.when(F.col("_lhead") > F.col("_first"), F.col("_lhead"))
-             .when(F.col("_first_real"), F.col("_first"))
-             .otherwise(F.col("_chead")))
-    else:
-        h = F.when(F.col("_carry").isNull() | (F.col("_lhead") - F.col("_carry") > gap),
-                   F.col("_lhead")).otherwise(F.col("_chead"))
-    out = [c for c in df.columns] + [h.alias(head)]
-    return j.select(*out)
-
-
-def _islands_whole(df: DataFrame, keys: list[str], t: str, end: str, gap: int, reach: str,
-                   head: str) -> DataFrame:
-    """``islands`` with one window partition per group (no bucket split): for
-    inputs whose groups are known to be small."""
-    w = Window.partitionBy(*keys).orderBy(t)
-    prev = (F.lag(end).over(w) if reach == "last"
-            else F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    brk = prev.isNull() | (F.col(t) - prev > gap)
-    d = df.withColumn("_lbrk", brk)
-    d = d.withColumn(head, F.max(F.when(F.col("_lbrk"), F.col(t))).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.drop("_lbrk")
+    rows = _with_head(df.withColumn(BK, bucket_of(t, width)), [*keys, BK], t, end, gap, reach, LOCAL)
+    local = rows.groupBy(*keys, BK, LOCAL).agg(
+        (F.max_by(end, t) if reach == "last" else F.max(end)).alias("_lend"), *partial)
+    whole = _with_head(local, keys, LOCAL, "_lend", gap, reach, head)
+    return whole.groupBy(*keys, head).agg(*final)
 
 
 def with_next(df: DataFrame, keys: Sequence[str], t: str, width: int, out: str = "next") -> DataFrame:
-    """Adds ``out``: the ``t`` of the next row of the group (null for the last)."""
+    """(keys, t, ``out``) for every distinct ``t`` of a group; ``out`` is the
+    next one (null for the last).  The points of a bucket, at most ``width``
+    numbers, become one sorted array, copies combined map-side."""
     keys = list(keys)
-    d = df.withColumn(BK, bucket_of(t, width))
-    w = Window.partitionBy(*keys, BK).orderBy(t)
-    d = shared(d.withColumn("_lnext", F.lead(t).over(w)))
-    wb = Window.partitionBy(*keys).orderBy(BK)
-    s = (d.groupBy(*keys, BK).agg(F.min(t).alias("_first"))
-         .withColumn("_nfirst", F.lead("_first").over(wb))
-         .select(*keys, BK, "_nfirst"))
-    j = d.join(s, on=[*keys, BK], how="inner")
-    return j.withColumn(out, F.coalesce("_lnext", "_nfirst")).drop(BK, "_lnext", "_nfirst")
+    points = (df.groupBy(*keys, bucket_of(t, width).alias(BK))
+              .agg(F.array_sort(F.collect_set(t)).alias("_ts")))
+    first_of_next = F.lead(F.get("_ts", F.lit(0))).over(Window.partitionBy(*keys).orderBy(BK))
+    following = F.concat(F.slice("_ts", F.lit(2), F.size("_ts")), F.array(first_of_next))
+    pairs = F.inline(F.arrays_zip(F.col("_ts").alias(t), F.col("_next").alias(out)))
+    return points.withColumn("_next", following).select(*keys, pairs)
 
 
 def bucket_span(b: str, e: str, width: int) -> Column:

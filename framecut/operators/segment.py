@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framecut.operators.ordered import bucket_of, bucket_span, shared, with_next
+from framecut.operators.ordered import bucket_of, bucket_span, with_next
 from framecut.params import BUCKET_MS
 
 B, E = "ad_seat_b_time", "ad_seat_e_time"
@@ -25,9 +25,7 @@ B, E = "ad_seat_b_time", "ad_seat_e_time"
 def fragments(iv: DataFrame, by: Sequence[str] = ("video_id",), bucket_ms: int = BUCKET_MS) -> DataFrame:
     """(by..., frag_b, frag_e) for every pair of consecutive cut points."""
     by = list(by)
-    pts = (iv.select(*by, F.col(B).alias("t"))
-           .unionByName(iv.select(*by, F.col(E).alias("t")))
-           .distinct())
+    pts = iv.select(*by, F.explode(F.array(B, E)).alias("t"))
     nxt = with_next(pts, by, "t", bucket_ms, out="frag_e")
     return nxt.where(F.col("frag_e").isNotNull()).select(*by, F.col("t").alias("frag_b"), "frag_e")
 
@@ -35,10 +33,10 @@ def fragments(iv: DataFrame, by: Sequence[str] = ("video_id",), bucket_ms: int =
 def segment(iv: DataFrame, by: Sequence[str] = ("video_id",), bucket_ms: int = BUCKET_MS) -> DataFrame:
     """Fragment x active interval: one row per fragment and interval that
     covers it (``begin <= frag_b and end >= frag_e``), with all interval
-    columns kept.  The intervals are read three times (begins, ends, the
-    overlap join), so they are materialised once."""
+    columns kept.  The plan reads the intervals twice (cut points, overlap
+    join); a caller whose intervals are costly may wrap them in
+    ``sinks.persisted``."""
     by = list(by)
-    iv = shared(iv)
     fr = fragments(iv, by, bucket_ms).withColumn("_bk", bucket_of("frag_b", bucket_ms))
     # an interval covers fragments whose begin lies in [begin, end)
     ivb = (iv.where(F.col(E) > F.col(B))

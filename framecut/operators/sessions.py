@@ -20,7 +20,7 @@ with reach := its end; the next row joins when ``begin - reach <= gap``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framecut.functions.intervals import gap_interval, media_time
@@ -32,43 +32,70 @@ START = "cluster_start"
 
 
 def _fold_heads(heads: DataFrame, gap_ms: int) -> DataFrame:
-    """Per video: the cluster start of every run head."""
+    """Per video: the cluster start of every run head (_run, _e_first)."""
     per_video = heads.groupBy("video_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(B).alias("b"), F.col("_e_first").alias("e")))).alias("hs"))
-    init = F.struct(F.lit(None).cast("bigint").alias("reach"), F.lit(None).cast("bigint").alias("start"),
-                    F.array().cast("array<struct<h:bigint,s:bigint>>").alias("out"))
+        F.array_sort(F.collect_list(F.struct(F.col("_run").alias("b"), F.col("_e_first").alias("e")))).alias("hs"))
+    init = F.struct(F.lit(None).cast("bigint").alias("reach"), F.array().cast("array<bigint>").alias("starts"))
 
     def step(acc, x):
         joins = acc["reach"].isNotNull() & (x["b"] - acc["reach"] <= F.lit(gap_ms))
-        return F.when(joins, F.struct(
-            acc["reach"].alias("reach"), acc["start"].alias("start"),
-            F.array_append(acc["out"], F.struct(x["b"].alias("h"), acc["start"].alias("s"))).alias("out"),
-        )).otherwise(F.struct(
-            x["e"].alias("reach"), x["b"].alias("start"),
-            F.array_append(acc["out"], F.struct(x["b"].alias("h"), x["b"].alias("s"))).alias("out"),
-        ))
-
-    folded = per_video.select("video_id", F.explode(F.aggregate("hs", init, step, lambda acc: acc["out"])).alias("p"))
-    return folded.select("video_id", F.col("p.h").alias("_run"), F.col("p.s").alias(START))
+        return F.when(joins, acc).otherwise(F.struct(
+            x["e"].alias("reach"), F.array_append(acc["starts"], x["b"]).alias("starts")))
+
+    starts = F.aggregate("hs", init, step, lambda acc: acc["starts"])
+    none = F.lit(None).cast("bigint")
+    entries = F.concat(F.transform("hs", lambda h: F.struct(h["b"].alias("b"), none.alias("s"))),
+                       F.transform(starts, lambda s: F.struct(s.alias("b"), s.alias("s"))))
+    upto = Window.partitionBy("video_id").orderBy("_run").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return (per_video.select("video_id", F.explode(entries).alias("x"))
+            .select("video_id", F.col("x.b").alias("_run"), F.col("x.s").alias("_s"))
+            .withColumn(START, F.max("_s").over(upto)).where(F.col("_s").isNull()).drop("_s"))
+
+
+def sessions(m: DataFrame, gap_ms: int, reach: str = "last", member: Column | None = None,
+             bucket_ms: int = BUCKET_MS) -> DataFrame:
+    """One row per cluster of ``m`` (intervals with video_id, begin, end,
+    detection_id; end >= begin): video_id, ``cluster_start`` (the begin of its
+    first row), ``_items``: an array of (b, i, source, e, m), one per row, with
+    ``member`` (default: all columns of ``m``) as ``m``.
+
+    The rows of a local run travel as one list, so no row is joined back.
+    Rows with equal begins never break among themselves here (the running max
+    and the begin comparison do not depend on their order)."""
+    if reach not in ("last", "max"):
+        raise ValueError(f"reach must be 'last' or 'max', not {reach!r}")
+    source = F.col("source") if "source" in m.columns else F.lit(None).cast("string")
+    item = F.struct(F.col(B).alias("b"), F.col(ID).alias("i"), source.alias("source"), F.col(E).alias("e"),
+                    (F.struct(*m.columns) if member is None else member).alias("m"))
+    x = m.select("video_id", F.col(B).alias("_b"), F.col(E).alias("_e"), item.alias("_item"))
+    end, head = ("_b", "_run") if reach == "last" else ("_e", START)
+    runs = islands(x, ["video_id"], "_b", end, gap_ms, reach, bucket_ms, head=head,
+                   partial=[F.collect_list("_item").alias("_items")],
+                   final=[F.flatten(F.collect_list("_items")).alias("_items")])
+    if reach == "max":
+        return runs
+    # the end that counts for a head is the one of its first row; it is taken
+    # from the list, so both sides of the join read the same shuffled rows
+    heads = runs.select("video_id", "_run", F.array_min("_items")["e"].alias("_e_first"))
+    return (runs.join(_fold_heads(heads, gap_ms), ["video_id", "_run"])
+            .groupBy("video_id", START).agg(F.flatten(F.collect_list("_items")).alias("_items")))
 
 
 def assign_sessions(m: DataFrame, gap_ms: int, reach: str = "last",
                     bucket_ms: int = BUCKET_MS) -> DataFrame:
-    """Adds ``cluster_start`` (the begin of the cluster's first row) to every
-    row of ``m`` (intervals with video_id, begin, end, detection_id; end >=
-    begin).  Rows with equal begins never break among themselves here (the
-    running max and the begin comparison do not depend on their order), so
-    the ordered scan runs on ``m`` directly."""
-    if reach == "max":
-        return islands(m, ["video_id"], B, E, gap_ms, "max", bucket_ms, head=START)
-    if reach != "last":
-        raise ValueError(f"reach must be 'last' or 'max', not {reach!r}")
-    runs = islands(m, ["video_id"], B, B, gap_ms, "last", bucket_ms, head="_run")
-    # the end that counts for a head is the one of its first row (by id)
-    heads = (runs.where(F.col(B) == F.col("_run"))
-             .groupBy("video_id", B).agg(F.min_by(F.col(E), F.struct(*(c for c in (ID, "source") if c in runs.columns))).alias("_e_first")))
-    starts = _fold_heads(heads, gap_ms)
-    return runs.join(starts, ["video_id", "_run"]).drop("_run")
+    """The rows of ``m`` with the ``cluster_start`` of their cluster."""
+    return (sessions(m, gap_ms, reach, None, bucket_ms)
+            .select(START, F.explode("_items").alias("_item")).select("_item.m.*", START))
+
+
+def cluster_bounds() -> list[Column]:
+    """Begin and end of a cluster, from its items."""
+    return [F.array_min(F.transform("_items", lambda x: x["b"])), F.array_max(F.transform("_items", lambda x: x["e"]))]
+
+
+def cluster_members() -> Column:
+    """The members of a cluster in their order."""
+    return F.array_sort(F.transform("_items", lambda x: x["m"]))
 
 
 def _members(label: str):
@@ -92,12 +119,13 @@ def session_window_summary(m: DataFrame, gap_ms: int, label: str = "class3_name"
             .drop("_sw"))
 
 
-def session_summary(rows: DataFrame, label: str = "class3_name") -> DataFrame:
+def session_summary(m: DataFrame, gap_ms: int, reach: str = "last", label: str = "class3_name",
+                    bucket_ms: int = BUCKET_MS) -> DataFrame:
     """One row per cluster: begin, end, member count and the member labels in
     (begin, detection_id) order."""
-    members = _members(label)
-    return rows.groupBy("video_id", START).agg(
-        F.min(B).alias("cluster_b"), F.max(E).alias("cluster_e"),
-        F.count(F.lit(1)).cast("bigint").alias("n_members"),
-        F.concat_ws("|", F.transform(members, lambda x: x["v"])).alias("labels"),
-    ).drop(START)
+    member = F.struct(F.col(B).alias("b"), F.col(ID).alias("i"), F.col(label).alias("v"))
+    begin, end = cluster_bounds()
+    return sessions(m, gap_ms, reach, member, bucket_ms).select(
+        "video_id", begin.alias("cluster_b"), end.alias("cluster_e"),
+        F.size("_items").cast("bigint").alias("n_members"),
+        F.concat_ws("|", F.transform(cluster_members(), lambda x: x["v"])).alias("labels"))

@@ -19,7 +19,7 @@ from framecut.operators import normalize as N
 from framecut.operators.merge import merge_same_label, pad
 from framecut.operators.scenes import contained_in_scenes, screen_time, top_labels
 from framecut.operators.segment import segment
-from framecut.operators.sessions import assign_sessions, session_summary, session_window_summary
+from framecut.operators.sessions import session_summary, session_window_summary
 from framecut.params import Params
 from framecut.plans import jobs
 from framecut.sources import fixtures
@@ -198,11 +198,11 @@ def _near(spark, sf, reach):
 
 
 def sessions_last(spark, sf):
-    return _known(session_summary(assign_sessions(_near(spark, sf, "last"), Params().gap_ms, "last")), spark, sf)
+    return _known(session_summary(_near(spark, sf, "last"), Params().gap_ms, "last"), spark, sf)
 
 
 def sessions_max(spark, sf):
-    return _known(session_summary(assign_sessions(_near(spark, sf, "max"), Params().gap_ms, "max")), spark, sf)
+    return _known(session_summary(_near(spark, sf, "max"), Params().gap_ms, "max"), spark, sf)
 
 
 def sessions_window(spark, sf):

@@ -2,7 +2,7 @@
 
 ``load -> normalize -> clips_single | clips_multi | clips_scene ->
 documents``; each arrow is a ``DataFrame -> DataFrame`` function, run
-by the caller's action; ordered scans materialise their windowed rows.  ``video_ids`` (a list, or a
+by the caller's action; nothing is persisted on the way.  ``video_ids`` (a list, or a
 DataFrame of ``video_id``) restricts every kind to the requested videos (T5).
 """
 
@@ -15,7 +15,7 @@ from framecut.operators import documents as D
 from framecut.operators.merge import merge_same_label, pad
 from framecut.operators.normalize import for_videos, known_videos, labelled, normalize
 from framecut.operators.scenes import contained_in_scenes, fold_scene, screen_time, top_labels
-from framecut.operators.sessions import START, assign_sessions
+from framecut.operators.sessions import cluster_bounds, cluster_members, sessions
 from framecut.params import Params
 from framecut.sources.tables import Inputs
 
@@ -41,10 +41,10 @@ def single_clips(det: DataFrame, p: Params = Params()) -> DataFrame:
 def multi_clusters(det: DataFrame, p: Params = Params()) -> DataFrame:
     """I3 -> I6 -> A7/A10 -> P7: one row per cluster with its members."""
     merged = merge_same_label(det, gap_ms=p.gap_ms, pad_ms=0, reach=p.reach, bucket_ms=p.bucket_ms)
-    rows = assign_sessions(merged, p.gap_ms, p.reach, p.bucket_ms)
-    cl = rows.groupBy("video_id", START).agg(
-        F.min(B).alias(B), F.max(E).alias(E), D.collect_members().alias("members"))
-    return cl.where(F.col(E) - F.col(B) >= p.min_clip_ms).drop(START)
+    begin, end = cluster_bounds()
+    cl = sessions(merged, p.gap_ms, p.reach, D.member_struct(), p.bucket_ms).select(
+        "video_id", begin.alias(B), end.alias(E), cluster_members().alias("members"))
+    return cl.where(F.col(E) - F.col(B) >= p.min_clip_ms)
 
 
 def scene_folds(inp: Inputs, det: DataFrame, p: Params = Params(),

@@ -50,29 +50,6 @@ def cluster_conf(input_bytes: int, cores: int, split_mb: int = 256) -> dict[str,
     }
 
 
-_PERSISTED: list = []
-
-
-def track(df):
-    """Remember a DataFrame an operator persisted, for ``release``."""
-    _PERSISTED.append(df)
-    return df
-
-
-def release(spark: SparkSession) -> None:
-    """Unpersist the intermediate results that the operators persisted under
-    this session's context (call it once the outputs of a job are written;
-    a stream's micro-batches run in a cloned session of the same context);
-    caches the caller made are left alone."""
-    keep = []
-    for df in _PERSISTED:
-        if df.sparkSession.sparkContext is spark.sparkContext:
-            df.unpersist()
-        else:
-            keep.append(df)
-    _PERSISTED[:] = keep
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from framecut.operators.merge import merge_same_label, pad
 from framecut.operators.scenes import contained_in_scenes, top_labels, screen_time
 from framecut.operators.segment import segment
-from framecut.operators.sessions import assign_sessions, session_summary, session_window_summary
+from framecut.operators.sessions import session_summary, session_window_summary
 from framecut.params import Params
 from framecut.plans import jobs
 from framecut.sources.tables import Inputs
@@ -57,7 +57,7 @@ def test_g6_touching_after_padding(spark):
 
 def _sessions(spark, rows, reach, bucket=60_000):
     d = det(spark, rows)
-    s = session_summary(assign_sessions(d, 10000, reach, bucket))
+    s = session_summary(d, 10000, reach, bucket_ms=bucket)
     return sorted((r.cluster_b, r.cluster_e, r.labels) for r in s.collect())
 
 

@@ -43,7 +43,7 @@ def test_merge_matches_model(spark, seed, reach, gap, pad, bucket):
 def test_sessions_match_model(spark, seed, reach, bucket):
     rows = random_rows(seed)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {tuple(r) for r in session_summary(assign_sessions(df, 10000, reach, bucket))
+    got = {tuple(r) for r in session_summary(df, 10000, reach, bucket_ms=bucket)
            .select("video_id", "cluster_b", "cluster_e", "n_members", "labels").collect()}
     assert got == session_model(rows, 10000, reach)
 

@@ -35,16 +35,34 @@ def test_labels_broadcast_not_detections(spark):
     assert "BroadcastHashJoin" in txt and "BuildRight" in txt
 
 
-def test_ordered_scan_reads_its_rows_without_a_second_shuffle(spark):
-    """The windowed rows of an ordered scan are persisted with their
-    (group, bucket) partitioning: the join back to the bucket summaries
-    must not shuffle them again."""
+def test_building_an_ordered_scan_starts_no_job(spark):
+    """Merges, sessions and segments are parts of one plan: nothing runs, and
+    nothing is persisted, before the caller's action."""
+    from framecut.operators.merge import merge_same_label
+    from framecut.operators.segment import segment
+    from framecut.operators.sessions import session_summary
+    rows = spark.createDataFrame([("v", "L", 0, 1000, 1)], "video_id string, class3_name string, "
+                                 "ad_seat_b_time long, ad_seat_e_time long, detection_id long")
+    status, group = spark.sparkContext.statusTracker(), "building-an-ordered-scan"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        merged = merge_same_label(rows, 10000)
+        built = [merged, segment(merged), session_summary(merged, 10000, "last"), session_summary(merged, 10000, "max")]
+        plans = [d._jdf.queryExecution().executedPlan().toString() for d in built]
+        assert not list(status.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not any("InMemoryTableScan" in p for p in plans)
+
+
+def test_single_path_has_two_row_level_exchanges(spark):
+    """Copies per begin, rows per bucket, then one row per local island: no
+    other exchange of the detections."""
     df = QUERIES["merge_touching_last"](spark, SF01)
     lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
-    scans = [i for i, l in enumerate(lines) if "InMemoryTableScan" in l and "_lhead" in l]
-    assert scans
-    for i in scans:
-        assert "Exchange" not in lines[i - 1], lines[i - 1]
+    video = [l for l in lines if "Exchange hashpartitioning(video_id" in l and "class3_name" in l]
+    assert len(video) == 3
+    assert sum("_bk" in l or "ad_seat_b_time" in l for l in video) == 2
 
 
 def test_cluster_conf_scales_partitions_with_input():

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from framecut.operators.merge import merge_same_label
 from framecut.operators.normalize import normalize
-from framecut.operators.sessions import assign_sessions, session_summary
+from framecut.operators.sessions import session_summary
 from framecut.plans import jobs
-from framecut.session import release
 from framecut.sources import fixtures
 from framecut.sources.sinks import current_documents
 from framecut.sources.tables import Inputs
@@ -47,11 +46,9 @@ def _add(spark, root, detections=(), tasks=(), mode="append"):
 
 
 def _same_as_batch(spark, docs, opened, job=jobs.clips_union):
-    release(spark)
     batch = job(opened())
     got = current_documents(spark, docs).select(*batch.columns)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.collect()))
-    release(spark)
     return got
 
 
@@ -143,18 +140,17 @@ def test_stream_sessions_subset_of_batch(spark, scratch):
          .queryName("fc_sessions").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination(300)
     got = {tuple(r) for r in spark.sql("SELECT video_id, cluster_b, cluster_e, n_members FROM fc_sessions").collect()}
-    batch = {tuple(r) for r in session_summary(assign_sessions(det, 10000, "max"))
+    batch = {tuple(r) for r in session_summary(det, 10000, "max")
              .select("video_id", "cluster_b", "cluster_e", "n_members").collect()}
     assert got and got <= batch
 
 
-def test_release_drops_only_operator_caches(spark):
-    from framecut.operators.ordered import shared
-    mine = spark.range(10).persist()
-    mine.count()
-    op = shared(spark.range(20).selectExpr("id * 2 AS x"))
-    assert op.storageLevel.useMemory
-    release(spark)
-    assert not op.storageLevel.useMemory and not op.storageLevel.useDisk
-    assert mine.storageLevel.useMemory
-    mine.unpersist()
+def test_a_job_sees_files_added_since_the_last_one(spark, scratch):
+    """Nothing is kept between jobs of a session: the same path, opened
+    again, gives every kind of clip of a video that arrived meanwhile."""
+    opened = _open(spark, scratch)
+    _add(spark, scratch, [("v", 1, 5_000, 9_000, "i", "1")], [("v", 0)])
+    seen = lambda: {(r.kind, r.string_vid) for r in jobs.clips_union(opened()).collect()}
+    assert {v for _, v in seen()} == {"v"}
+    _add(spark, scratch, [("w", 2, 0, 8_000, "k", "2")])
+    assert seen() == {(k, v) for k in ("single", "multi") for v in "vw"}

@@ -12,13 +12,16 @@ many times the corpus, so suffixes are sampled in a way that loses nothing:
    are answered there and sent once), and those that occur in two documents
    are returned to their documents.
 2. Maximal runs of windows with a returned anchor are cut out of the texts
-   and dealt to buckets by anchor, so equal windows meet.
+   and dealt to buckets by anchor, so equal windows meet.  Equal runs of a
+   group of documents are decided there against the smallest id among them
+   and sent once, so a bucket gets a run at most once per group.
 3. A bucket sorts its runs deep-shallow: multikey sorting by 8-byte
    characters to depth ``SHALLOW``, then a blind trie for every remaining
    group with a long common prefix.  Equal runs meet in a leaf, which keeps
    the smallest id.  Where different runs share an anchor, the suffixes that
    start at each of their windows are sorted the same way to ``LENGTH``.
-4. Removed stretches return to their documents, which drop them.
+4. Removed stretches return to their groups, which drop them from every
+   document that holds the run under the id it was sent with.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` stay
 whole; rows that repeat a ``doc_id`` never remove anything from each other; a
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -230,12 +234,48 @@ def _repeated(targets: int):
     return run
 
 
-_RUN_SCHEMA = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("rows", pa.binary()), ("docs", pa.binary()),
-                         ("firsts", pa.binary()), ("sizes", pa.binary()), ("data", pa.binary())])
+_RUN_SCHEMA = pa.schema([("bucket", pa.int32()), ("target", pa.int32()), ("anchors", pa.binary()),
+                         ("docs", pa.binary()), ("sizes", pa.binary()), ("data", pa.binary()), ("classes", pa.binary()),
+                         ("rows", pa.binary()), ("begins", pa.binary()), ("ends", pa.binary())])
+#: Of a group of documents: where a class of equal runs stands (no ends), what of a class is
+#: removed (no rows), what of a document is removed (no classes).
+_STRETCH_SCHEMA = pa.schema([("target", pa.int32()), ("classes", pa.binary()), ("rows", pa.binary()),
+                             ("begins", pa.binary()), ("ends", pa.binary())])
+
+
+def _portions(places: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """``places`` in parts of about _CUT bytes, as their sizes have it."""
+    return np.split(places, np.flatnonzero(np.diff(np.cumsum(size) // _CUT)) + 1) if len(places) else []
+
+
+def _classes(data: np.ndarray, anchor: np.ndarray, begin: np.ndarray, size: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray]:
+    """(order, starts) of the classes of runs with equal anchors and equal bytes."""
+    n = len(begin)
+    order = np.lexsort((size, anchor))
+    again = np.zeros(n + 1, bool)
+    again[1:-1] = (anchor[order[1:]] == anchor[order[:-1]]) & (size[order[1:]] == size[order[:-1]])
+    some = order[again[1:] | again[:-1]]
+    powers = np.cumprod(np.full(size[some].max(initial=0), _BASE, np.uint64))
+    digest = np.zeros(n, np.uint64)
+    for part in _portions(some, size[some]):
+        count = size[part]
+        terms = _TABLE[data[_expanded(begin[part], count)]] * powers[_expanded(np.zeros(len(part), np.int64), count)]
+        digest[part] = np.add.reduceat(terms, np.cumsum(count) - count)
+    order = np.lexsort((digest, size, anchor))
+    x, y = order[1:], order[:-1]
+    same = (anchor[x] == anchor[y]) & (size[x] == size[y]) & (digest[x] == digest[y])
+    pairs = np.flatnonzero(same)
+    for part in _portions(pairs, size[x[pairs]]):  # equal digests are only a guess
+        count = size[x[part]]
+        differ = data[_expanded(begin[x[part]], count)] != data[_expanded(begin[y[part]], count)]
+        same[part] = ~np.logical_or.reduceat(differ, np.cumsum(count) - count)
+    return order, np.flatnonzero(np.concatenate([[True], ~same])[:n])
 
 
 def _cut_runs(length: int, buckets: int):
-    """The runs of windows of a group of documents whose anchors were returned."""
+    """The runs of windows of a group of documents whose anchors were returned: one of each class of
+    equal runs, with the smallest id; documents with larger ids lose theirs at once."""
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         records: list[dict] = []
         if replies.num_rows and docs.num_rows:
@@ -245,23 +285,40 @@ def _cut_runs(length: int, buckets: int):
             wanted = np.sort(np.concatenate([
                 pairs(_unpacked(r, np.int64), _unpacked(a, np.uint64))
                 for r, a in zip(replies.column("rows").to_pylist(), replies.column("anchors").to_pylist())]))
-            data, offsets = _texts(docs.column("text"))
-            keys, ids = docs.column("row").to_numpy(), docs.column("doc_id").to_numpy()
+            # rows that repeat id and text once, in an order that a repeated task has as well
+            keys, once = np.unique(docs.column("row").to_numpy(), return_index=True)
+            ids, target = docs.column("doc_id").to_numpy()[once], docs.column("target")[0].as_py()
+            data, offsets = _texts(docs.column("text").cast(pa.large_binary()).take(pa.array(once)))
             parts = []
             for text, anchors, first, last in _runs(data, offsets, length):
                 low, bucket = _low(anchors), _bucket_of(anchors, buckets)
                 probe = pairs(keys[text], low | bucket.astype(np.uint64) << np.uint64(_BITS))
                 at = np.minimum(np.searchsorted(wanted, probe), len(wanted) - 1)
                 hit = np.flatnonzero(wanted[at] == probe)
-                parts.append((bucket[hit], low[hit], text[hit], first[hit], last[hit] + length))
-            bucket, low, text, begin, end = (np.concatenate([p[k] for p in parts]) for k in range(5))
-            for g in _split(bucket):
-                size = end[g] - begin[g]
-                place = _expanded(begin[g], size)
+                parts.append((bucket[hit], low[hit], text[hit], first[hit], last[hit] + length - first[hit]))
+            bucket, low, text, begin, size = (np.concatenate([p[k] for p in parts]) for k in range(5))
+            if not len(begin):
+                return pa.Table.from_pylist(records, _RUN_SCHEMA)
+            order, starts = _classes(data, low | bucket.astype(np.uint64) << np.uint64(_BITS), begin, size)
+            kind = np.zeros(len(order), np.int64)
+            kind[starts[1:]] = 1
+            kind = np.cumsum(kind)
+            least = np.minimum.reduceat(ids[text[order]], starts)
+            later = ids[text[order]] > least[kind]
+            row, first = keys[text[order]], (begin - offsets[text])[order]
+            records.append({
+                "bucket": target, "target": target, "classes": _packed(kind[~later]), "rows": _packed(row[~later]),
+                "begins": _packed(first[~later])})
+            records.append({
+                "bucket": target, "target": target, "rows": _packed(row[later]), "begins": _packed(first[later]),
+                "ends": _packed((first + size[order])[later])})
+            head = order[starts]
+            for g in _split(bucket[head]):
+                one = head[g]
                 records.append({
-                    "bucket": int(bucket[g[0]]), "anchors": _short(low[g]), "rows": _packed(keys[text[g]]),
-                    "docs": _packed(ids[text[g]]), "firsts": _packed(begin[g] - offsets[text[g]]),
-                    "sizes": _packed(size), "data": _packed(data[place])})
+                    "bucket": int(bucket[one[0]]), "target": target, "anchors": _short(low[one]),
+                    "docs": _packed(least[g]), "classes": _packed(g), "sizes": _packed(size[one]),
+                    "data": _packed(data[_expanded(begin[one], size[one])])})
         return pa.Table.from_pylist(records, _RUN_SCHEMA)
     return run
 
@@ -386,14 +443,21 @@ def _expanded(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
-def _stretches(length: int, targets: int, shallow: int):
-    """Removed stretches of a bucket's runs: (document, first byte, byte after the last)."""
+def _stretches(length: int, shallow: int):
+    """Removed stretches of a bucket's runs: (group of documents, class, first byte, byte after the last);
+    what groups decided themselves passes through."""
     def run(table: pa.Table) -> pa.Table:
-        row, doc, first, size, data = (
+        own = table.column("data").is_null()
+        passed = table.filter(own).select(_STRETCH_SCHEMA.names).cast(_STRETCH_SCHEMA)
+        table = table.filter(pc.invert(own))
+        if not table.num_rows:
+            return passed
+        cls, doc, size, data = (
             np.concatenate([_unpacked(b, kind) for b in table.column(c).to_pylist()])
-            for c, kind in (("rows", np.int64), ("docs", np.int64), ("firsts", np.int64), ("sizes", np.int64),
-                            ("data", np.uint8)))
-        key = np.concatenate([_long(b) for b in table.column("anchors").to_pylist()])
+            for c, kind in (("classes", np.int64), ("docs", np.int64), ("sizes", np.int64), ("data", np.uint8)))
+        keys = [_long(b) for b in table.column("anchors").to_pylist()]
+        key = np.concatenate(keys)
+        target = np.repeat(table.column("target").to_numpy(), [len(k) for k in keys])
         end = np.cumsum(size)
         begin = end - size
         data = padded(data)
@@ -402,7 +466,7 @@ def _stretches(length: int, targets: int, shallow: int):
         least = np.minimum.reduceat(doc[order], starts)  # smallest id of each class of equal runs
         later = doc[order] > least[kind]
         whole = order[later]
-        out = [(row[whole], first[whole], first[whole] + size[whole])]
+        out = [(target[whole], cls[whole], np.zeros(len(whole), np.int64), size[whole])]
         # windows of different runs under one anchor
         head = order[starts]
         by, groups = _sorted_groups(key[head])
@@ -415,27 +479,25 @@ def _stretches(length: int, targets: int, shallow: int):
         portion = np.cumsum(windows)[border - 1] // _PART
         for part in np.split(mixed, border[np.flatnonzero(np.diff(portion, prepend=0))]) if len(mixed) else []:
             n = size[head[part]] - length + 1
-            cls, inside = np.repeat(part, n), _expanded(np.zeros(len(n), np.int64), n)
-            at = begin[head[cls]] + inside
+            kinds, inside = np.repeat(part, n), _expanded(np.zeros(len(n), np.int64), n)
+            at = begin[head[kinds]] + inside
             wo, wk = deep_shallow(data, at, at + length, length - length % 8)
             ws = np.flatnonzero(np.concatenate([[True], wk[1:] != wk[:-1]]))
-            low = np.minimum.reduceat(least[cls[wo]], ws)
-            gone = np.zeros(len(cls), bool)
-            gone[wo] = low[wk] < least[cls[wo]]
+            low = np.minimum.reduceat(least[kinds[wo]], ws)
+            gone = np.zeros(len(kinds), bool)
+            gone[wo] = low[wk] < least[kinds[wo]]
             lost = np.flatnonzero(gone)
-            lo, hi = np.searchsorted(of, cls[lost]), np.searchsorted(of, cls[lost], side="right")
+            lo, hi = np.searchsorted(of, kinds[lost]), np.searchsorted(of, kinds[lost], side="right")
             mine = firsts[_expanded(lo, hi - lo)]
-            start = first[mine] + np.repeat(inside[lost], hi - lo)
-            out.append((row[mine], start, start + length))
-        r, a, b = (np.concatenate([o[k] for o in out]) for k in range(3))
-        to = r % targets
-        return pa.Table.from_pylist(
-            [{"target": int(to[g[0]]), "rows": _packed(r[g]), "begins": _packed(a[g]), "ends": _packed(b[g])}
-             for g in _split(to)], _STRETCH_SCHEMA)
+            start = np.repeat(inside[lost], hi - lo)
+            out.append((target[mine], cls[mine], start, start + length))
+        to, c, a, b = (np.concatenate([o[k] for o in out]) for k in range(4))
+        return pa.concat_tables([passed, pa.Table.from_pylist(
+            [{"target": int(to[g[0]]), "classes": _packed(c[g]), "begins": _packed(a[g]), "ends": _packed(b[g])}
+             for g in _split(to)], _STRETCH_SCHEMA)])
     return run
 
 
-_STRETCH_SCHEMA = pa.schema([("target", pa.int32()), ("rows", pa.binary()), ("begins", pa.binary()), ("ends", pa.binary())])
 _KEPT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                           ("n_spans", pa.int64()), ("kept", pa.binary())])
 
@@ -444,8 +506,19 @@ def _kept(docs: pa.Table, stretches: pa.Table) -> pa.Table:
     """What is left of a group of documents, cut _CUT bytes of text at a time."""
     data, offsets = _texts(docs.column("text"))
     ids, keys = docs.column("doc_id").to_numpy(), docs.column("row").to_numpy()
-    r, a, b = (np.concatenate([np.empty(0, np.int64)] + [_unpacked(x, np.int64) for x in stretches.column(c).to_pylist()])
-               for c in ("rows", "begins", "ends"))
+    def parts(absent: str, names: tuple[str, ...]) -> list[np.ndarray]:
+        some = stretches.filter(stretches.column(absent).is_null())
+        return [np.concatenate([np.empty(0, np.int64)] + [_unpacked(x, np.int64) for x in some.column(c).to_pylist()])
+                for c in names]
+
+    classes, rows, firsts = parts("ends", ("classes", "rows", "begins"))
+    c, a, b = parts("rows", ("classes", "begins", "ends"))
+    by = np.argsort(classes, kind="stable")
+    lo, hi = np.searchsorted(classes[by], c), np.searchsorted(classes[by], c, side="right")
+    mine, n = by[_expanded(lo, hi - lo)], hi - lo
+    own = parts("classes", ("rows", "begins", "ends"))
+    r, a, b = (np.concatenate(x) for x in zip(own, (
+        rows[mine], firsts[mine] + np.repeat(a, n), firsts[mine] + np.repeat(b, n))))
     by = np.argsort(keys, kind="stable")
     lo, hi = np.searchsorted(keys[by], r), np.searchsorted(keys[by], r, side="right")
     mine = by[_expanded(lo, hi - lo)]  # rows that repeat id and text share a key
@@ -494,8 +567,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     replies = entries.groupBy("bucket").applyInArrow(_repeated(n), entry).select("target", "rows", "anchors")
     runs = grouped.groupBy("target").cogroup(replies.groupBy("target")).applyInArrow(
         _cut_runs(length, n),
-        "bucket int, anchors binary, rows binary, docs binary, firsts binary, sizes binary, data binary")
+        "bucket int, target int, anchors binary, docs binary, sizes binary, data binary, classes binary, rows binary, "
+        "begins binary, ends binary")
     stretches = runs.groupBy("bucket").applyInArrow(
-        _stretches(length, n, shallow), "target int, rows binary, begins binary, ends binary")
+        _stretches(length, shallow), "target int, classes binary, rows binary, begins binary, ends binary")
     return grouped.groupBy("target").cogroup(stretches.groupBy("target")).applyInArrow(
         _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -258,6 +258,39 @@ def test_deep_shallow_sorts():
     assert all((a == b) == (x == y) for a, b, x, y in zip(strings, strings[1:], kind, kind[1:]))
 
 
+def test_suffix_dedup_sends_equal_runs_once():
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(4)
+    hot = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    ids = [None if k % 50 == 7 else k // 2 for k in range(400)]
+    texts = [hot if k % 3 else f"{k} {hot} {k}" for k in range(400)]
+    raw = pa.RecordBatch.from_pydict({"row": pa.array(range(1, 401), pa.int64()), "text": texts})
+    entries = [r for b in suffix_dedup._entries([raw], 50, 4, 1) for r in b.to_pylist() if r["reply"]]
+    docs = pa.table({"row": raw.column(0), "text": raw.column(1), "target": pa.array([0] * 400, pa.int32()),
+                     "doc_id": pa.array([suffix_dedup.NO_ID if i is None else i for i in ids], pa.int64())})
+    out = suffix_dedup._cut_runs(50, 4)(docs, pa.Table.from_pylist(entries, suffix_dedup._ENTRY_SCHEMA))
+    sent = []
+    for r in out.to_pylist():
+        if r["data"] is not None:
+            data, at = suffix_dedup._unpacked(r["data"], np.uint8).tobytes(), 0
+            for size, anchor in zip(suffix_dedup._unpacked(r["sizes"], np.int64), suffix_dedup._long(r["anchors"])):
+                sent.append((int(anchor), data[at:at + size]))
+                at += size
+    assert len(sent) == len(set(sent))
+    assert sum(s in hot.encode() for _, s in sent) < 300
+
+
+def test_suffix_dedup_with_one_passage_in_many_rows(spark):
+    rng = random.Random(5)
+    hot = "".join(rng.choice("abcdefgh ") for _ in range(200))
+    rows = [(rng.choice([None, k, k // 3, 7]), rng.choice([hot, hot, f"{k % 5} {hot}", f"{hot}{k}{hot}", f"{hot[:120]}{k % 4}",
+                                                          f"{k:060d}", hot[k % 90:] * 2])) for k in range(300)]
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    got = _sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], brute.sha(bytes(r["kept"]))) for r in found)
+    assert got == _sorted(brute.suffixes(rows))
+
+
 def test_sentence_spans(docs, pairs):
     out = sentence_spans.remove_repeated_spans(docs).collect()
     got = _sorted((r["doc_id"], r["n_sentences"], r["n_removed"], brute.sha(r["kept_text"]), brute.sha(r["removed_text"]))

@@ -53,13 +53,21 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sentence_spans.remove_repeated_spans(read(spark, sf_dir, "documents"))
+def _span_rows(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_sentences", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"),
         F.sha2("removed_text", 256).alias("removed_sha256"))
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_rows(sentence_spans.remove_repeated_spans(read(spark, sf_dir, "documents")))
+
+
+def op6_content_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_rows(sentence_spans.remove_repeated_spans(
+        read(spark, sf_dir, "documents"), cut=sentence_spans.content_sentences))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     histogram = token_counts.length_histogram(read(spark, sf_dir, "documents"), public_path(BYTE_BPE))
     return token_counts.suffix_sums(histogram)
@@ -85,5 +93,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_pii, op2_simhash, op3_packing, op4_decontamination, op5_language_id, op6_sentence_spans, op7_token_counts,
-    op8_exact_dedup, op9_suffix_dedup, op10_token_binary, pipeline)}
+    op1_pii, op2_simhash, op3_packing, op4_decontamination, op5_language_id, op6_sentence_spans, op6_content_spans,
+    op7_token_counts, op8_exact_dedup, op9_suffix_dedup, op10_token_binary, pipeline)}

@@ -144,16 +144,36 @@ def sentences(text):
     return out
 
 
-def spans(docs, size=3):
+def content_pieces(text):
+    """Sentences cut after words whose hash is the least of 4 words to each side."""
+    mix = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
+    out = []
+    for s in filter(None, re.findall(r"(?:[^.!?\n]|[.!?]+[^.!? \t\r\n])*[.!?]*[ \t\r\n]*", text or "")):
+        w = re.findall(r"[ \t\r\n]*[^ \t\r\n]+[ \t\r\n]*", s) or [s]
+        c = [0, *(zlib.crc32(x.strip(" \t\r\n").encode()) for x in w), 0]
+        h = []
+        for k in range(1, len(c) - 1):
+            x = c[k] * mix[0] + c[k - 1] * mix[1] + c[k + 1] * mix[2] & (1 << 64) - 1
+            h.append((x ^ x >> 32) * mix[1] & (1 << 64) - 1)
+        piece = ""
+        for k, x in enumerate(w):
+            piece += x
+            if k == len(w) - 1 or 4 <= k < len(w) - 4 and h[k] == min(h[k - 4:k + 5]):
+                out.append(piece)
+                piece = ""
+    return out
+
+
+def spans(docs, size=3, cut=sentences):
     first = {}
     for d, t in docs:
-        s = [x.strip(" \t\r\n") for x in sentences(t)]
+        s = [x.strip(" \t\r\n") for x in cut(t)]
         for k in range(len(s) - size + 1):
             key = tuple(s[k:k + size])
             first[key] = min(first.get(key, (NONE, NONE)), (rank(d), k))
     out = []
     for d, t in docs:
-        pieces = sentences(t)
+        pieces = cut(t)
         s = [x.strip(" \t\r\n") for x in pieces]
         gone = set()
         for k in range(len(s) - size + 1):

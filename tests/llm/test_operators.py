@@ -299,6 +299,35 @@ def test_sentence_spans(docs, pairs):
     assert got == _sorted(brute.spans(pairs))
 
 
+def test_content_spans(docs, pairs):
+    out = sentence_spans.remove_repeated_spans(docs, cut=sentence_spans.content_sentences).collect()
+    got = _sorted((r["doc_id"], r["n_sentences"], r["n_removed"], brute.sha(r["kept_text"]), brute.sha(r["removed_text"]))
+                  for r in out)
+    assert got == _sorted(brute.spans(pairs, cut=brute.content_pieces))
+
+
+@pytest.mark.parametrize("marks", [True, False])
+def test_content_spans_find_passages_in_the_middle_of_sentences(spark, marks):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(20_000)]
+
+    def text(n):
+        return " ".join(rng.choice(words) + ("." if marks and rng.random() < 0.05 else "") for _ in range(n))
+
+    rows, planted = [], {}
+    for k in range(40):
+        passage = text(90)
+        planted[2 * k + 1] = passage
+        rows += [(2 * k + j, f"{text(rng.randrange(9, 60))} {passage} {text(rng.randrange(9, 60))}") for j in (0, 1)]
+    out = sentence_spans.remove_repeated_spans(
+        spark.createDataFrame(rows, "doc_id long, text string"), cut=sentence_spans.content_sentences).collect()
+    assert all(r["n_removed"] == 0 for r in out if r["doc_id"] not in planted)
+    for r in out:
+        if r["doc_id"] in planted:
+            assert r["removed_text"].strip() in planted[r["doc_id"]]
+            assert len(r["removed_text"].split()) >= 30
+
+
 def test_token_counts(docs, pairs):
     path = tokens.public_path(catalog.BYTE_BPE)
     sizes = sorted(len(i) for _, i in _ids(path, pairs))

@@ -18,7 +18,8 @@ those with the smallest hash of the id.  Everything else covers all rows and
 whole texts.
 
 Defined results: null text or no letter: ``und``, score 0, rejected; an empty
-training set: ``und`` for all; rows without language train nothing.
+training set: ``und`` and score 0 for all, rejected only without a letter, as
+nothing was learned that could reject; rows without language train nothing.
 """
 
 from __future__ import annotations
@@ -201,6 +202,8 @@ class Models:
     def entropies(self, codes: np.ndarray, scored: np.ndarray) -> np.ndarray:
         """Minus log-probability of every scored character, a column per language."""
         ends = np.flatnonzero(scored)
+        if not self.langs:
+            return np.zeros((len(ends), 0))
         table = self.tables[self.order]
         row = table.find(grams(codes, self.order)[ends - self.order + 1])
         out = table.rows[row]
@@ -265,7 +268,7 @@ def _predict(batches, models: Models, limits: dict | None):
             score = np.where(none, 0.0, 1 / np.exp(-gap).sum(axis=1))
         else:
             best, low, score = np.zeros(len(n), np.int64), np.zeros(len(n)), np.zeros(len(n))
-        rejected = none.copy()
+        rejected = n == 0
         if limits is not None:
             mean = np.array([limits.get(lang, (np.inf, np.inf))[0] for lang in models.langs] or [np.inf])
             most = np.array([limits.get(lang, (np.inf, np.inf))[1] for lang in models.langs] or [np.inf])

@@ -299,6 +299,13 @@ def test_sentence_spans(docs, pairs):
     assert got == _sorted(brute.spans(pairs))
 
 
+def test_no_language_rejects_no_text(spark):
+    rows = [(1, "Ein Satz.", None), (2, "12 !", None), (3, None, None), (4, "x", None), (None, "Some words", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in langid.drop_rejected(docs).collect()} == {1, 4, None}
+    assert {(r["lang_pred"], r["score"]) for r in langid.detect_languages(docs).collect()} == {("und", 0.0)}
+
+
 def test_content_spans(docs, pairs):
     out = sentence_spans.remove_repeated_spans(docs, cut=sentence_spans.content_sentences).collect()
     got = _sorted((r["doc_id"], r["n_sentences"], r["n_removed"], brute.sha(r["kept_text"]), brute.sha(r["removed_text"]))

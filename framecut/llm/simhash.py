@@ -25,10 +25,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, keep_rows, per_partition, text_of
+from .common import connected_components, cut, id_last, per_partition, text_of
 
 SHINGLE = 3
 RADIUS = 2
@@ -66,13 +66,14 @@ def _fingerprints(batches, size: int):
     for batch in batches:
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         prints = np.array([fingerprint(t, size) for t in texts], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(prints, pa.int64())})
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "h": batch.column(2), "fp": pa.array(prints, pa.int64())})
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every document as a 64-bit integer."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
-        per_partition(_fingerprints, size), "doc_id long, fp long")
+    """(doc_id, h, fp): the hash of the text and the fingerprint of every document as 64-bit integers."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"),
+                       F.xxhash64(text_of(text_col)).alias("h")).mapInArrow(
+        per_partition(_fingerprints, size), "doc_id long, h long, fp long")
 
 
 def bucket_masks(radius: int) -> list[int]:
@@ -153,6 +154,19 @@ def _bucket_links(batches, radius: int):
             yield pa.RecordBatch.from_pydict({"a": pa.array(pair[:, 0]), "b": pa.array(pair[:, 1])})
 
 
+def _components(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, component) of every fingerprint, and (component, least): the smallest (id, text hash)
+    that links lead to."""
+    rank = F.struct(id_last().alias("id"), F.col("h"))
+    different = cut(prints.groupBy("fp").agg(F.min(rank).alias("first")))
+    links = (different.select(F.explode(_bucket_keys(radius)).alias("key"), "fp").repartition("key")
+             .mapInArrow(per_partition(_bucket_links, radius), "a long, b long"))
+    parts = connected_components(links)
+    linked = different.join(parts, different["fp"] == parts["node"], "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    return linked.select("fp", "component"), linked.groupBy("component").agg(F.min("first").alias("least"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id): documents linked within ``radius`` bits.
@@ -160,18 +174,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id that links lead to.
     """
     prints = cut(fingerprints(docs, id_col, text_col, size))
-    different = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    links = (different.select(F.explode(_bucket_keys(radius)).alias("key"), "fp").repartition("key")
-             .mapInArrow(per_partition(_bucket_links, radius), "a long, b long"))
-    parts = connected_components(links)
-    linked = different.join(parts, different["fp"] == parts["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
-    smallest = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = linked.join(smallest, "component").select(F.col("fp").alias("__fp"), "component_id")
+    linked, smallest = _components(prints, radius)
+    named = linked.join(smallest, "component").select(
+        F.col("fp").alias("__fp"), F.col("least.id.id").alias("component_id"))
     return prints.join(named, prints["fp"] == named["__fp"]).select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, the one with the smallest id, with all its columns."""
-    stay = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return keep_rows(docs, stay.select(F.col("doc_id").alias(id_col)), id_col)
+    """One document of each component, the one with the smallest id, with all its columns.
+
+    Of different texts with that id the one with the smallest hash stays, of
+    rows that repeat id and text one.
+    """
+    kept = _components(cut(fingerprints(docs, id_col, text_col)), RADIUS)[1].select(
+        F.col("least.id.id").alias("__id"), F.col("least.h").alias("__kept"))
+    marked = docs.withColumn("__h", F.xxhash64(text_of(text_col)))
+    stay = marked.join(kept, (marked["__h"] == kept["__kept"])
+                       & marked[id_col].cast("long").eqNullSafe(kept["__id"]), "left_semi")
+    same = Window.partitionBy("__h", id_col).orderBy("__h")
+    return stay.withColumn("__n", F.row_number().over(same)).filter("__n = 1").select(*docs.columns)

@@ -85,6 +85,23 @@ def test_simhash(docs, pairs):
     assert got == _sorted(brute.components(pairs))
 
 
+def test_near_duplicates_keep_one_document_of_each_component(spark, docs, pairs):
+    text = _real()[3][1]
+    rows = [*pairs, (None, text + " x"), (None, None), (None, "some other words here"), (None, text), (1003, text + " x"),
+            (2000, "seven words that stand nowhere else here"), (2000, text + " x"), (2000, text)]
+    wide = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, n long")
+    kept = simhash.drop_near_duplicates(wide.repartition(5)).collect()
+    found = brute.components(rows)
+    prints = [int(fp, 16) for _, fp, _ in found]
+    part = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                part = [part[b] if p == part[a] else p for p in part]
+    assert len(kept) == len(set(part)) == len({part[r["n"]] for r in kept})
+    assert all(r["doc_id"] == found[r["n"]][2] for r in kept)
+
+
 def test_covering_masks_meet_every_close_pair():
     masks = simhash.bucket_masks(2)
     for a in range(64):

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (conversation_repair, decontaminate, exact_dedup, langid, packing, pii, prefix_trie, sentence_spans, simhash,
-               suffix_dedup, token_binary, token_counts)
+from . import (conversation_repair, decontaminate, exact_dedup, langid, packing, pii, prefix_trie, recurrent_lm,
+               sentence_spans, simhash, suffix_dedup, token_binary, token_counts)
 from .tokens import public_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -96,6 +96,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -104,4 +108,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pii, op2_simhash, op3_packing, op4_decontamination, op5_language_id, op6_sentence_spans, op6_content_spans,
     op7_token_counts, op8_exact_dedup, op9_suffix_dedup, op10_token_binary, op11_conversation_repair,
-    op12_prefix_trie, pipeline)}
+    op12_prefix_trie, op13_recurrent_lm, pipeline)}

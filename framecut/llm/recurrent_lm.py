@@ -73,12 +73,13 @@ def training(id_col: str = "doc_id") -> Column:
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(different words, index of every word of the texts one after another, words per text)."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     flat = lists.flatten()
     real = pc.greater(pc.binary_length(flat), 0)
     owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     n = np.bincount(owner[real.to_numpy(zero_copy_only=False)], minlength=len(texts))
-    coded = flat.filter(real).dictionary_encode()
+    # lower-cased only now: ascii_lower of a slice of a column is wrong in Arrow
+    coded = pc.ascii_lower(flat.filter(real)).dictionary_encode()
     words, size = coded.dictionary, pc.binary_length(coded.dictionary)
     if len(words) and pc.max(size).as_py() > LONGEST:
         words = pa.array([" " + hashlib.sha256(w.encode()).hexdigest() if len(w.encode()) > LONGEST else w

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from framecut.llm import catalog, recurrent_lm as lm
@@ -124,6 +125,14 @@ def test_query_learns_more_than_counts(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_words_of_a_slice():
+    """Later portions of a batch are slices of its columns."""
+    texts = pa.array([f"Élan{k} A\u0085b " * 50 + "é" for k in range(300)], pa.large_string())
+    words, index, n = lm._words(texts.slice(120, 100))
+    got = [words[int(k)].as_py() for k in index]
+    assert got == [w for k in range(120, 220) for w in _tokens(texts[k].as_py())[:-1]] and set(n) == {101}
+
+
 def _tiny():
     count = np.arange(40, 0, -1)
     words = lm.Vocabulary(None, None, None, 40, 3, np.append(count, 50), 900, 45, 50, 5, 1)

@@ -47,7 +47,7 @@ FREQUENT = 200_000
 #: Entries of the model's vocabulary, the end of a document included, and of a class.
 SLOTS, PER_CLASS = 1024, 32
 #: Size of the state, steps that a gradient goes back, lanes.
-STATE, WINDOW, LANES = 16, 16, 256
+STATE, WINDOW, LANES = 16, 32, 256
 #: Steps that a lane has at least, on average, where there are tokens enough for more than one.
 LANE_STEPS = 256
 #: Parts of the training pass, after each of which weights are averaged; rate of Adagrad.
@@ -355,6 +355,7 @@ class Lanes:
 def learn(network: Network, lanes: Lanes, squares: dict[str, np.ndarray]) -> None:
     """Truncated backpropagation over the lanes, updating the network by Adagrad."""
     state = np.zeros((len(lanes.length), STATE), np.float32)
+    scale = np.float32(1 / len(lanes.length))  # of all lanes: the last windows of few long lanes weigh less
     for _, inputs, targets, valid in lanes.windows(WINDOW):
         states, kept = network.steps(inputs, state[:inputs.shape[1]], keep=True)
         state = states[-1]
@@ -363,7 +364,6 @@ def learn(network: Network, lanes: Lanes, squares: dict[str, np.ndarray]) -> Non
         d_states = np.zeros_like(states)
         d_states[valid] = back
         network.backward(inputs, kept, d_states, grads)
-        scale = np.float32(1 / inputs.shape[1])
         for name, grad in grads.items():
             weight, square = getattr(network, name), squares[name]
             if name == "given":
@@ -382,7 +382,7 @@ def log_likelihoods(network: Network, lanes: Lanes) -> np.ndarray:
     """Natural log-probability of every token's place, in the order the lanes were given."""
     out = np.zeros(lanes.targets.shape, np.float32)
     state = np.zeros((len(lanes.length), STATE), np.float32)
-    for t, inputs, targets, valid in lanes.windows(2 * WINDOW):
+    for t, inputs, targets, valid in lanes.windows(WINDOW):
         states, _ = network.steps(inputs, state[:inputs.shape[1]])
         state = states[-1]
         out[t:t + len(inputs), :inputs.shape[1]][valid] = network.output(states[valid], targets[valid])[0]

@@ -72,13 +72,15 @@ def id_last(name: str = "doc_id") -> Column:
     return F.struct(F.col(name).isNull().alias("none"), F.col(name).alias("id"))
 
 
-def keep_rows(docs: DataFrame, decided: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``decided`` (a null id matches a null id).
-
-    A semi join, so ids that repeat in ``decided`` multiply nothing.
-    """
-    ids = decided.select(F.col(key).alias("__keep"))
-    return docs.join(ids, docs[key].eqNullSafe(ids["__keep"]), "left_semi")
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have, whatever the letters' case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small, text_of
+from .common import cut, fresh, small, text_of
 
 WINDOW = 10
 #: Characters between words; letters A-Z are lower-cased after the cut.
@@ -161,8 +161,9 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, within: int = WINDO
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without any exact window, with all their columns."""
-    found = exact_matches(docs, benchmark, id_col, text_col).select(
-        F.col("doc_id").alias("__d"), F.col("h").alias("__h")).distinct()
-    marked = docs.withColumn("__text_hash", F.xxhash64(text_of(text_col)))
-    return marked.join(small(cut(found), 64), marked[id_col].eqNullSafe(found["__d"])
-                       & (marked["__text_hash"] == found["__h"]), "left_anti").select(*docs.columns)
+    h, found_id, found_h = fresh(docs, "__text_hash", "__d", "__h")
+    found = small(cut(exact_matches(docs, benchmark, id_col, text_col).select(
+        F.col("doc_id").alias(found_id), F.col("h").alias(found_h)).distinct()), 64)
+    marked = docs.withColumn(h, F.xxhash64(text_of(text_col)))
+    return marked.join(found, marked[id_col].eqNullSafe(found[found_id]) & (marked[h] == found[found_h]),
+                       "left_anti").select(*docs.columns)

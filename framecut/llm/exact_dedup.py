@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, id_last, per_partition, text_of
+from .common import cut, fresh, id_last, per_partition, text_of
 
 #: Misra-Gries counters of one summary; bounds what is broadcast.
 COUNTERS = 1024
@@ -89,10 +89,11 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows that repeat an id with equal text are one document: one of them stays.
     """
+    digest, n, kept_id, kept_digest = fresh(docs, "__digest", "__n", "__id", "__kept")
     kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        F.col(id_col).alias("__id"), F.col("digest").alias("__kept"))
-    marked = docs.withColumn("__digest", F.unhex(F.sha2(F.regexp_replace(text_of(text_col), WHITE, " "), 256)))
-    stay = marked.join(kept, (marked["__digest"] == kept["__kept"]) & marked[id_col].eqNullSafe(kept["__id"]),
+        F.col(id_col).alias(kept_id), F.col("digest").alias(kept_digest))
+    marked = docs.withColumn(digest, F.unhex(F.sha2(F.regexp_replace(text_of(text_col), WHITE, " "), 256)))
+    stay = marked.join(kept, (marked[digest] == kept[kept_digest]) & marked[id_col].eqNullSafe(kept[kept_id]),
                        "left_semi")
-    same = Window.partitionBy("__digest", id_col).orderBy("__digest")
-    return (stay.withColumn("__n", F.row_number().over(same)).filter("__n = 1").select(*docs.columns))
+    same = Window.partitionBy(digest, id_col).orderBy(digest)
+    return stay.withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1).select(*docs.columns)

@@ -9,9 +9,10 @@ language, so a position costs one search for all languages together.
 
 A text goes to the language with the lowest cross-entropy per character.
 Rejection is calibrated on a quarter of the training documents, which the
-models do not see: per language, the deviations of their cross-entropy from
-its mean, times the square root of the length, bound what is accepted
-(``SLACK`` times the largest).
+models do not see.  They are cut into pieces of 8, 16, 32 .. characters; per
+language and length class the ``QUANTILE`` of the pieces' cross-entropies,
+``SLACK`` times as far from the language's mean, bounds what is accepted.
+Texts of fewer than 8 scored characters are never rejected for their entropy.
 
 The training sample is bounded: ``PER_LANGUAGE`` documents of each language,
 those with the smallest hash of the id.  Everything else covers all rows and
@@ -19,7 +20,9 @@ whole texts.
 
 Defined results: null text or no letter: ``und``, score 0, rejected; an empty
 training set: ``und`` and score 0 for all, rejected only without a letter, as
-nothing was learned that could reject; rows without language train nothing.
+nothing was learned that could reject; rows without language train nothing;
+very long texts are scored whole.  ``drop_rejected`` decides row by row in one
+pass, so null and repeated ids change nothing.
 """
 
 from __future__ import annotations
@@ -29,18 +32,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, keep_rows, per_partition, small, text_of
+from .common import cut, per_partition, small, text_of
+from .tokens import forget, portions
 
 ORDER = 4
 #: Documents of each language that train the models (a quarter of them calibrates).
 PER_LANGUAGE = 600
 #: Bits of the id's hash that make a band.
 BAND_BITS = 12
-#: Accepted deviation, in largest deviations seen in calibration.
-SLACK = 3.0
+#: Quantile of the calibration pieces' cross-entropies, and the accepted multiple of its distance from the mean.
+QUANTILE, SLACK = 0.998, 1.5
+#: Length classes are powers of two of these exponents; one needs so many pieces to have a bound of its own.
+CLASSES, PIECES = range(3, 13), 100
 UNKNOWN = "und"
 #: Characters scored at a time (a longer text is scored by itself).
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = 32
 _TABLES: dict[str, np.ndarray] = {}
@@ -252,31 +258,73 @@ def _groups(texts: list[str | None]):
         yield held
 
 
+def _length_class(n: np.ndarray) -> np.ndarray:
+    """Index of the length class, -1 for shorter texts."""
+    return np.clip(np.frexp(np.maximum(n, 1))[1] - 1, CLASSES[0] - 1, CLASSES[-1]) - CLASSES[0]
+
+
+def _judged(texts: list[str | None], models: Models, limits: dict | None):
+    """(best language, score, its cross-entropy, scored characters, rejected) of every text."""
+    parts = [models.score(g) for g in _groups(texts)]
+    entropy, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    none = (n == 0) | (not models.langs)
+    if models.langs:
+        best = entropy.argmin(axis=1)
+        low = entropy[np.arange(len(n)), best]
+        gap = (entropy - low[:, None]) * np.minimum(n, 100)[:, None]
+        score = np.where(none, 0.0, 1 / np.exp(-gap).sum(axis=1))
+    else:
+        best, low, score = np.zeros(len(n), np.int64), np.zeros(len(n)), np.zeros(len(n))
+    rejected = n == 0
+    if limits is not None and models.langs:
+        bounds = np.array([limits.get(lang, [np.inf] * len(CLASSES)) + [np.inf] for lang in models.langs])
+        rejected |= low > bounds[best, _length_class(n)]  # the last column is for shorter texts
+    return np.where(none, len(models.langs), best), score, np.where(none, 0.0, low), n, rejected
+
+
 def _predict(batches, models: Models, limits: dict | None):
     names = np.array(models.langs + [UNKNOWN], object)
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        parts = [models.score(g) for g in _groups(texts)]
-        if not parts:
-            continue
-        entropy, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-        none = (n == 0) | (not models.langs)
-        if models.langs:
-            best = entropy.argmin(axis=1)
-            low = entropy[np.arange(len(n)), best]
-            gap = (entropy - low[:, None]) * np.minimum(n, 100)[:, None]
-            score = np.where(none, 0.0, 1 / np.exp(-gap).sum(axis=1))
-        else:
-            best, low, score = np.zeros(len(n), np.int64), np.zeros(len(n)), np.zeros(len(n))
-        rejected = n == 0
-        if limits is not None:
-            mean = np.array([limits.get(lang, (np.inf, np.inf))[0] for lang in models.langs] or [np.inf])
-            most = np.array([limits.get(lang, (np.inf, np.inf))[1] for lang in models.langs] or [np.inf])
-            rejected |= (low - mean[best]) * np.sqrt(np.maximum(n, 1)) > most[best]
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": batch.column(0), "lang_pred": pa.array(names[np.where(none, len(models.langs), best)], pa.string()),
-            "score": pa.array(score, pa.float64()), "cross_entropy": pa.array(np.where(none, 0.0, low), pa.float64()),
-            "n_scored": pa.array(n, pa.int64()), "rejected": pa.array(rejected, pa.bool_())})
+        for part in portions(batch, 1):
+            best, score, low, n, rejected = _judged(part.column(1).to_pylist(), models, limits)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": part.column(0), "lang_pred": pa.array(names[best], pa.string()),
+                "score": pa.array(score, pa.float64()), "cross_entropy": pa.array(low, pa.float64()),
+                "n_scored": pa.array(n, pa.int64()), "rejected": pa.array(rejected, pa.bool_())})
+    forget()
+
+
+def _accepted(batches, models: Models, limits: dict | None, at: int):
+    """The rows whose text, the ``at``-th column, is not rejected."""
+    for batch in batches:
+        text = pa.RecordBatch.from_arrays([batch.column(at).cast(pa.large_string()).fill_null("")], ["text"])
+        begin = 0
+        for part in portions(text, 0):
+            rejected = _judged(part.column(0).to_pylist(), models, limits)[4]
+            kept = batch.slice(begin, part.num_rows).filter(pa.array(~rejected))
+            begin += part.num_rows
+            if kept.num_rows:
+                yield kept
+    forget()
+
+
+def _pieces(batches, models: Models):
+    """(lang, class, cross_entropy) of the pieces of calibration documents, in each document's best language."""
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            codes, scored, letters = characters([text], models.order)
+            if not letters[0]:
+                continue
+            every = models.entropies(codes, scored)
+            best = int(every.sum(axis=0).argmin())
+            mine = every[:, best].astype(np.float64)
+            for k, exponent in enumerate(CLASSES):
+                many = len(mine) >> exponent
+                if many:
+                    mean = mine[:many << exponent].reshape(many, -1).mean(axis=1)
+                    yield pa.RecordBatch.from_pydict({
+                        "lang": pa.array([models.langs[best]] * many, pa.string()), "k": pa.array([k] * many, pa.int64()),
+                        "cross_entropy": pa.array(mean, pa.float64())})
 
 
 _OUT = "doc_id long, lang_pred string, score double, cross_entropy double, n_scored long, rejected boolean"
@@ -310,8 +358,8 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), F.col(lang_col).alias("lang"), "calibrates")
 
 
-def train(sample: DataFrame, order: int = ORDER) -> tuple[Models, dict[str, tuple[float, float]]]:
-    """Models from the sample, and per language (mean, largest accepted deviation)."""
+def train(sample: DataFrame, order: int = ORDER) -> tuple[Models, dict[str, list[float]]]:
+    """Models from the sample, and per language the largest accepted cross-entropy of each length class."""
     sample = cut(sample)
     counted = (sample.filter(~F.col("calibrates")).select("lang", "text")
                .mapInArrow(per_partition(_counted, order), "lang string, gram string, n long")
@@ -320,13 +368,21 @@ def train(sample: DataFrame, order: int = ORDER) -> tuple[Models, dict[str, tupl
     place = {lang: k for k, lang in enumerate(langs)}
     models = Models(langs, counted.column("gram").to_pylist(), counted.column("n").to_numpy().astype(float),
                     np.array([place[x] for x in counted.column("lang").to_pylist()], np.int64), order)
-    seen = (sample.filter("calibrates").select("doc_id", "text").mapInArrow(per_partition(_predict, models, None), _OUT)
-            .filter(~F.col("rejected")))
-    means = seen.groupBy("lang_pred").agg(
-        (F.sum(F.col("cross_entropy") * F.col("n_scored")) / F.sum("n_scored")).alias("mean"))
-    limits = (seen.join(F.broadcast(means), "lang_pred").groupBy("lang_pred", "mean")
-              .agg(F.max((F.col("cross_entropy") - F.col("mean")) * F.sqrt("n_scored")).alias("most")).collect())
-    return models, {r["lang_pred"]: (r["mean"], SLACK * max(r["most"], 1.0)) for r in limits}
+    pieces = cut(sample.filter("calibrates").select("text").mapInArrow(
+        per_partition(_pieces, models), "lang string, k long, cross_entropy double"))
+    seen = pieces.groupBy("lang", "k").agg(
+        F.count("*").alias("n"), F.avg("cross_entropy").alias("mean"),
+        F.percentile_approx("cross_entropy", QUANTILE, 10_000).alias("high")).collect()
+    limits = {}
+    for lang in langs:
+        found = {r["k"]: r for r in seen if r["lang"] == lang}
+        bounds: list[float] = []
+        for k in range(len(CLASSES)):  # a class of few pieces takes the bound of the class before
+            r = found.get(k)
+            own = r["mean"] + SLACK * (r["high"] - r["mean"]) if r is not None and r["n"] >= PIECES else np.inf
+            bounds.append(own if own < np.inf or not bounds else bounds[-1])
+        limits[lang] = bounds
+    return models, limits
 
 
 def identify(docs: DataFrame, models: Models, limits: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -343,9 +399,6 @@ def detect_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents whose language is not rejected, with all their columns.
-
-    Rows that repeat an id stay if one of them does.
-    """
-    found = detect_languages(docs, id_col, text_col, lang_col)
-    return keep_rows(docs, found.filter(~F.col("rejected")).select(F.col("doc_id").alias(id_col)), id_col)
+    """The documents whose language is not rejected, with all their columns, in one pass without a shuffle."""
+    models, limits = train(training_sample(docs, id_col, text_col, lang_col))
+    return docs.mapInArrow(per_partition(_accepted, models, limits, docs.columns.index(text_col)), docs.schema)

@@ -29,11 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, per_partition, small, text_of
-from .tokens import END_ID, encoder, portions, with_end
+from .tokens import END_ID, encoder, forget, portions, with_end
 
 CAPACITY = 4096
 #: Bodies are multiples of this many ids.
 GRAIN = 16
+#: Pieces of text that a task remembers the ids of.
+REMEMBERED = 300_000
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
@@ -46,7 +48,7 @@ def cut_lengths(n: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[in
 
 def _pieces(batches, path: str, end: int, capacity: int, grain: int, with_ids: bool):
     """Pieces with checksums; ``idx`` numbers the pieces of a length in this task."""
-    enc, part, seen = encoder(path), TaskContext.get().partitionId(), {}
+    enc, part, seen = encoder(path, REMEMBERED), TaskContext.get().partitionId(), {}
     for batch in batches:
         for some in portions(batch, 1):
             ids, n = with_end(*enc.encode(some.column(1)), end)
@@ -75,6 +77,7 @@ def _pieces(batches, path: str, end: int, capacity: int, grain: int, with_ids: b
             if with_ids:
                 columns["ids"] = pa.array(blobs, pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
+    forget()
 
 
 def best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

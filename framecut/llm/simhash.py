@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, id_last, per_partition, text_of
+from .common import connected_components, cut, fresh, id_last, per_partition, text_of
 
 SHINGLE = 3
 RADIUS = 2
@@ -186,10 +186,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Of different texts with that id the one with the smallest hash stays, of
     rows that repeat id and text one.
     """
+    h, n, kept_id, kept_h = fresh(docs, "__h", "__n", "__id", "__kept")
     kept = _components(cut(fingerprints(docs, id_col, text_col)), RADIUS)[1].select(
-        F.col("least.id.id").alias("__id"), F.col("least.h").alias("__kept"))
-    marked = docs.withColumn("__h", F.xxhash64(text_of(text_col)))
-    stay = marked.join(kept, (marked["__h"] == kept["__kept"])
-                       & marked[id_col].cast("long").eqNullSafe(kept["__id"]), "left_semi")
-    same = Window.partitionBy("__h", id_col).orderBy("__h")
-    return stay.withColumn("__n", F.row_number().over(same)).filter("__n = 1").select(*docs.columns)
+        F.col("least.id.id").alias(kept_id), F.col("least.h").alias(kept_h))
+    marked = docs.withColumn(h, F.xxhash64(text_of(text_col)))
+    stay = marked.join(kept, (marked[h] == kept[kept_h]) & marked[id_col].cast("long").eqNullSafe(kept[kept_id]),
+                       "left_semi")
+    same = Window.partitionBy(h, id_col).orderBy(h)
+    return stay.withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1).select(*docs.columns)

@@ -43,13 +43,14 @@ class TextEncoder:
     otherwise white space only separates and letters are lower-cased.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced = self.tokenizer.normalizer is None
         self.bytes = _byte_alphabet()
         self.memo: dict[str, bytes] = {}
+        self.most = memo
 
     def _word(self, word: str) -> list[int]:
         """Ids of letters (with a space before them, if spaced)."""
@@ -78,7 +79,7 @@ class TextEncoder:
             ids = memo.get(word)
             if ids is None:
                 ids = piece(word)
-                if len(memo) < MEMO:
+                if len(memo) < self.most:
                     memo[word] = ids
             got.append(ids)
         if not got:
@@ -134,13 +135,25 @@ class TextEncoder:
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
-    """The worker's encoder for a tokenizer file (loaded once)."""
+def encoder(path: str, memo: int = MEMO) -> TextEncoder:
+    """The worker's encoder for a tokenizer file (loaded once), which remembers at most ``memo`` pieces."""
     if path not in _ENCODERS:
         _ENCODERS[path] = TextEncoder(path)
+    _ENCODERS[path].most = memo
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Drop what the worker's encoders remember, and give free memory back.
+
+    Workers outlive their tasks: without it the next stage of a job starts
+    with the memory of the last.
+    """
+    for held in _ENCODERS.values():
+        held.memo.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def portions(batch: pa.RecordBatch, column: int, size: int = PORTION):
     """Slices of a batch with about ``size`` bytes of text each (one row at least)."""
     upto = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))

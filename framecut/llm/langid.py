@@ -9,10 +9,12 @@ language, so a position costs one search for all languages together.
 
 A text goes to the language with the lowest cross-entropy per character.
 Rejection is calibrated on a quarter of the training documents, which the
-models do not see.  They are cut into pieces of 8, 16, 32 .. characters; per
+models do not see.  They are cut into pieces of 8, 16, .. 256 characters; per
 language and length class the ``QUANTILE`` of the pieces' cross-entropies,
 ``SLACK`` times as far from the language's mean, bounds what is accepted.
-Texts of fewer than 8 scored characters are never rejected for their entropy.
+Longer texts share the last class, whose pieces vary as passages of one text
+do: a long text is not rejected for a passage in another language.  Texts of
+fewer than 8 scored characters are never rejected for their entropy.
 
 The training sample is bounded: ``PER_LANGUAGE`` documents of each language,
 those with the smallest hash of the id.  Everything else covers all rows and
@@ -43,7 +45,7 @@ BAND_BITS = 12
 #: Quantile of the calibration pieces' cross-entropies, and the accepted multiple of its distance from the mean.
 QUANTILE, SLACK = 0.998, 1.5
 #: Length classes are powers of two of these exponents; one needs so many pieces to have a bound of its own.
-CLASSES, PIECES = range(3, 13), 100
+CLASSES, PIECES = range(3, 9), 100
 UNKNOWN = "und"
 #: Characters scored at a time (a longer text is scored by itself).
 _CHUNK = 1 << 18

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecut.functions.intervals import padded_begin, padded_end
@@ -24,7 +24,7 @@ def pad(df: DataFrame, pad_ms: int, b: str = B, e: str = E) -> DataFrame:
     return df.withColumn(b, padded_begin(b, pad_ms)).withColumn(e, padded_end(e, pad_ms))
 
 
-def merge_same_label(det: DataFrame, gap_ms: int, pad_ms: int = 0, reach: str = "last",
+def merge_same_label(det: DataFrame, gap_ms: int | Column, pad_ms: int = 0, reach: str = "last",
                      keys: Sequence[str] = LABEL_KEYS, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """I2 (``pad_ms=4000, gap_ms=0``) and I3 (``pad_ms=0, gap_ms=10000``).
 
@@ -59,3 +59,23 @@ def merge_same_label(det: DataFrame, gap_ms: int, pad_ms: int = 0, reach: str =
                F.sum("_n").alias("n_detections")])
     out = merged.select(*keys, F.col("_head").alias(B), E, "_row.*", "n_detections")
     return out.withColumn("class3_name", F.nullif("class3_name", F.lit(NO_LABEL))) if null_label else out
+
+
+def merge_kinds(det: DataFrame, pad_ms: int, gap_ms: int, reach: str = "last",
+                bucket_ms: int = BUCKET_MS) -> tuple[DataFrame, DataFrame]:
+    """I1 + I2 and I3 in one ordered scan: (touching intervals of padded,
+    labelled detections, near intervals of all detections).
+
+    Every detection is read once and becomes a row per kind; kind is one of
+    the scan's keys, padding and gap follow from it.  Both results hang on the
+    same shuffled islands: they are told apart by ``_kind``, which comes out of
+    the fold, so that no filter sinks below the exchange and makes it two."""
+    single, multi = F.lit("single"), F.lit("multi")
+    padded = F.struct(single.alias("kind"), padded_begin(B, pad_ms).alias(B), padded_end(E, pad_ms).alias(E))
+    plain = F.struct(multi.alias("kind"), F.col(B).alias(B), F.col(E).alias(E))
+    kinds = F.when(F.col("class3_name").isNull(), F.array(plain)).otherwise(F.array(padded, plain))
+    rows = det.select(*(c for c in det.columns if c not in (B, E)), F.explode(kinds).alias("_k"))
+    rows = rows.select("*", "_k.*").drop("_k").withColumn("_kind", F.col("kind"))
+    merged = merge_same_label(rows, F.when(F.col("kind") == single, 0).otherwise(gap_ms), reach=reach,
+                              keys=("kind", *LABEL_KEYS), bucket_ms=bucket_ms)
+    return tuple(merged.where(F.col("_kind") == k).drop("kind", "_kind") for k in (single, multi))

@@ -61,14 +61,17 @@ def label_detections(det: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def video_attributes(videos: DataFrame) -> DataFrame:
-    """S4 projected for the documents: one row per video."""
-    return videos.select(
-        F.col("videoId").alias("video_id"),
+    """S4 projected for the documents: one row per video (J3).  Of several
+    rows of a video the least in this order of columns counts, as a whole;
+    ``assert_unique_videos`` reports such videos."""
+    fields = F.struct(
         F.col("videoName").alias("media_name"),
         F.col("category").alias("drama_name"),
         F.col("classify").alias("drama_type_name"),
         F.col("area").alias("media_area_name"),
     )
+    return (videos.groupBy(F.col("videoId").alias("video_id")).agg(F.min(fields).alias("_v"))
+            .select("video_id", "_v.*"))
 
 
 def known_videos(det: DataFrame, videos: DataFrame) -> DataFrame:
@@ -139,8 +142,8 @@ def enrich(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame, videos:
     attrs = video_attributes(videos)
     extra = []
     if with_release_date:
-        attrs = attrs.join(videos.select(F.col("videoId").alias("video_id"),
-                                         F.col("releaseTime").alias("media_release_date")), "video_id")
+        attrs = attrs.join(videos.groupBy(F.col("videoId").alias("video_id"))
+                           .agg(F.min("releaseTime").alias("media_release_date")), "video_id")
         extra = ["media_release_date"]
     out = narrow.join(attrs, "video_id")
     return out.select(*schemas.UNIFIED_COLUMNS, *extra, "detection_id", "source")
@@ -148,8 +151,11 @@ def enrich(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame, videos:
 
 def assert_unique_videos(videos: DataFrame) -> DataFrame:
     """J3 check: video ids that occur more than once (the reference would
-    multiply their detections).  Returns the offending ids; empty when clean."""
-    return videos.groupBy("videoId").count().where(F.col("count") > 1)
+    multiply their detections).  Returns the offending ids with their number of
+    rows and of different rows; empty when clean."""
+    return (videos.groupBy("videoId").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(F.struct(*videos.columns)).alias("n_different")).where(F.col("n_rows") > 1))
 
 
 def pending(det: DataFrame, tasks: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def bucket_of(t: str | Column, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
-def _with_head(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reach: str, head: str) -> DataFrame:
+def _with_head(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int | Column, reach: str, head: str) -> DataFrame:
     """Adds ``head``: the ``t`` of the first row of the island of each row
     (one window partition per combination of ``keys``)."""
     w = Window.partitionBy(*keys).orderBy(t)
@@ -42,7 +42,7 @@ def _with_head(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, r
     return d.withColumn(head, F.max(F.when(F.col("_brk"), F.col(t))).over(upto_here)).drop("_brk")
 
 
-def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int, reach: str, width: int,
+def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int | Column, reach: str, width: int,
             partial: Sequence[Column], final: Sequence[Column], head: str = "head") -> DataFrame:
     """Gaps and islands, folded: one row (keys, ``head``, ``final``) per
     island; ``head`` is the ``t`` of its first row.

@@ -8,6 +8,7 @@ lists become ``'|'``-joined text in list order, the label -> image map
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from typing import Callable
 
@@ -24,7 +25,9 @@ from framecut.params import Params
 from framecut.plans import jobs
 from framecut.sources import fixtures
 from framecut.sources.tables import pending_tasks
+from framecut.session import ensure_checkpoint_dir
 from framecut.streaming.pending import mark_processed
+from framecut.streaming.scenes import current_scenes, update_scenes
 
 B, E = "ad_seat_b_time", "ad_seat_e_time"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +38,8 @@ REQUEST_SEGMENT = "AUTOMOBILE"
 # per-video top-k of scene_topk_per_video (a scene has at most 5 labels per
 # video in the fixtures, so 10 would never cut)
 TOPK_PER_VIDEO = 3
+# groups in which the videos of clips_scene_rounds arrive
+SCENE_ROUNDS = 3
 # ------------------------------------------------------------------------------
 
 
@@ -253,6 +258,33 @@ def clips_all(spark, sf):
                        F.concat_ws("|", "string_class3_list").alias("labels"), "resourceId")
 
 
+def clips_scene_rounds(spark, sf):
+    """Q7 in rounds: the videos arrive in three groups, and the scene clips
+    that are current after the last round are those of one batch."""
+    inp = _inputs(spark, sf)
+    ids = inp.videos.select(F.col("videoId").alias("video_id")).distinct()
+    store = f"{ensure_checkpoint_dir(spark)}/scene-rounds-{uuid.uuid4().hex}"
+    for k in range(SCENE_ROUNDS):
+        update_scenes(inp, ids.where(F.pmod(F.hash("video_id"), F.lit(SCENE_ROUNDS)) == k), store)
+    return flat(current_scenes(spark, store).drop("kind", "clip_id"))
+
+
+def _twice(videos):
+    """Every video also under another name and area."""
+    return videos.unionByName(videos.withColumn("videoName", F.concat("videoName", F.lit(" again")))
+                              .withColumn("area", F.lit("ELSEWHERE")))
+
+
+def clips_duplicate_videos(spark, sf):
+    """A video table that repeats its ids multiplies no document."""
+    inp = _inputs(spark, sf)
+    return flat(jobs.clips_single(replace(inp, videos=_twice(inp.videos))))
+
+
+def duplicate_videos(spark, sf):
+    return N.assert_unique_videos(_twice(_inputs(spark, sf).videos))
+
+
 def clip_counts(spark, sf):
     docs = jobs.clips_all(_inputs(spark, sf))
     return docs.groupBy("kind").agg(F.count(F.lit(1)).cast("bigint").alias("n_clips"))
@@ -305,6 +337,9 @@ QUERIES: dict[str, Query] = {
     "clips_scene": clips_scene,
     "clips_scene_tagged": clips_scene_tagged,
     "clips_all": clips_all,
+    "clips_scene_rounds": clips_scene_rounds,
+    "clips_duplicate_videos": clips_duplicate_videos,
+    "duplicate_videos": duplicate_videos,
     "clip_counts": clip_counts,
     "clips_json": clips_json,
     "tasks_after_round": tasks_after_round,

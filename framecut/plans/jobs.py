@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framecut.operators import documents as D
-from framecut.operators.merge import merge_same_label, pad
+from framecut.operators.merge import merge_kinds, merge_same_label, pad
 from framecut.operators.normalize import for_videos, known_videos, labelled, normalize
 from framecut.operators.scenes import contained_in_scenes, fold_scene, screen_time, top_labels
 from framecut.operators.sessions import cluster_bounds, cluster_members, sessions
@@ -32,7 +32,10 @@ def single_clips(det: DataFrame, p: Params = Params()) -> DataFrame:
 
     After merging, the intervals of one (video, label) are disjoint, so the
     reference's per-label sweep gives exactly one fragment per interval."""
-    merged = merge_same_label(labelled(det), gap_ms=0, pad_ms=p.pad_ms, reach=p.reach, bucket_ms=p.bucket_ms)
+    return _single(merge_same_label(labelled(det), gap_ms=0, pad_ms=p.pad_ms, reach=p.reach, bucket_ms=p.bucket_ms), p)
+
+
+def _single(merged: DataFrame, p: Params) -> DataFrame:
     clips = pad(merged, p.context_ms)
     clips = clips.where(F.col(E) - F.col(B) >= p.min_clip_ms)
     return clips.select("video_id", B, E, F.array(D.member_struct()).alias("members"))
@@ -40,7 +43,10 @@ def single_clips(det: DataFrame, p: Params = Params()) -> DataFrame:
 
 def multi_clusters(det: DataFrame, p: Params = Params()) -> DataFrame:
     """I3 -> I6 -> A7/A10 -> P7: one row per cluster with its members."""
-    merged = merge_same_label(det, gap_ms=p.gap_ms, pad_ms=0, reach=p.reach, bucket_ms=p.bucket_ms)
+    return _multi(merge_same_label(det, gap_ms=p.gap_ms, pad_ms=0, reach=p.reach, bucket_ms=p.bucket_ms), p)
+
+
+def _multi(merged: DataFrame, p: Params) -> DataFrame:
     begin, end = cluster_bounds()
     cl = sessions(merged, p.gap_ms, p.reach, D.member_struct(), p.bucket_ms).select(
         "video_id", begin.alias(B), end.alias(E), cluster_members().alias("members"))
@@ -85,24 +91,34 @@ def clips_scene(inp: Inputs, p: Params = Params(), tagged: bool = False,
     return D.scene_documents(folds, inp.videos, tagged)
 
 
-def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None) -> DataFrame:
-    """Q8 / Q9 (U3): typed single clips, multi v3 and tagged scene clips in one
-    DataFrame with a ``kind`` column and a stable ``clip_id``.  Each of the
-    three branches scans and normalizes the detections."""
-    det = detections(inp, video_ids)
-    single = D.single_documents(single_clips(det, p), inp.videos, typed=True)
-    multi = D.multi_documents(multi_clusters(det, p), inp.videos, version=3)
-    scene_det = det if video_ids is None or p.scope != "scene" else detections(inp)
-    scene = D.scene_documents(scene_folds(inp, scene_det, p, video_ids), inp.videos, tagged=True)
-    parts = [D.with_clip_id(single, "single"), D.with_clip_id(multi, "multi"),
-             D.with_clip_id(scene, "scene")]
+def _by_kind(parts: dict[str, DataFrame]) -> DataFrame:
+    """Documents of several kinds in one DataFrame, with ``kind`` and ``clip_id``."""
     out = None
-    for kind, part in zip(("single", "multi", "scene"), parts):
-        part = part.withColumn("kind", F.lit(kind))
+    for kind, docs in parts.items():
+        part = D.with_clip_id(docs, kind).withColumn("kind", F.lit(kind))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+def clips_detections(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None,
+                     version: int = 3, typed: bool = True) -> DataFrame:
+    """The single and multi-label documents (of Q8 by default) from one ordered
+    scan of the detections."""
+    touching, near = merge_kinds(detections(inp, video_ids), p.pad_ms, p.gap_ms, p.reach, p.bucket_ms)
+    return _by_kind({"single": D.single_documents(_single(touching, p), inp.videos, typed),
+                     "multi": D.multi_documents(_multi(near, p), inp.videos, version)})
+
+
+def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None) -> DataFrame:
+    """Q8 / Q9 (U3): typed single clips, multi v3 and tagged scene clips in one
+    DataFrame with a ``kind`` column and a stable ``clip_id``.  Single and
+    multi-label clips share one ordered scan of the detections; the scene part
+    reads them again, as a second scan of pruned columns costs less than
+    another shuffle of all detections."""
+    scene = _by_kind({"scene": clips_scene(inp, p, tagged=True, video_ids=video_ids)})
+    return clips_detections(inp, p, video_ids).unionByName(scene, allowMissingColumns=True)
+
+
 def multi_v1(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """Q4: multi-label documents of the first form with their ``kind`` and ``clip_id``."""
     return D.with_clip_id(clips_multi(inp, p, 1, video_ids), "multi").withColumn("kind", F.lit("multi"))
@@ -112,6 +128,4 @@ def clips_union(inp: Inputs, p: Params = Params(), version: int = 2,
                 video_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """Q5 / Q6: single-label and multi-label documents in one DataFrame with
     their ``kind`` and ``clip_id``."""
-    single = D.with_clip_id(clips_single(inp, p, video_ids=video_ids), "single").withColumn("kind", F.lit("single"))
-    multi = D.with_clip_id(clips_multi(inp, p, version, video_ids), "multi").withColumn("kind", F.lit("multi"))
-    return single.unionByName(multi, allowMissingColumns=True)
+    return clips_detections(inp, p, video_ids, version, typed=False)

@@ -399,3 +399,10 @@ ORACLE_SQL["clips_union_v2"] = (
 ORACLE_SQL["clips_all_for_videos"] = (
     f"SELECT kind, clip_id, string_vid, string_time FROM ({all_sql()}) WHERE string_vid IN "
     "(SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'AUTOMOBILE')")
+
+#: the same documents, however their videos arrive or repeat
+ORACLE_SQL["clips_scene_rounds"] = ORACLE_SQL["clips_scene_tagged"]
+ORACLE_SQL["clips_duplicate_videos"] = ORACLE_SQL["clips_single"]
+ORACLE_SQL["duplicate_videos"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS "videoId", CAST(2 AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS n_different
+FROM customer"""

@@ -33,7 +33,7 @@ def append_new(docs: DataFrame, path: str, fmt: str = "parquet", partition_by: s
     no second pass)."""
     spark = docs.sparkSession
     old = _existing_ids(spark, path, fmt)
-    docs = docs.dropDuplicates(["clip_id"])
+    docs = one_per_clip(docs)
     new = docs if old is None else docs.join(old, "clip_id", "left_anti")
     obs = Observation("written")
     new = new.observe(obs, F.count(F.lit(1)).alias("documents"))
@@ -44,34 +44,77 @@ def append_new(docs: DataFrame, path: str, fmt: str = "parquet", partition_by: s
     return obs
 
 
-def replace_videos(docs: DataFrame, video_ids: DataFrame, path: str) -> int:
-    """K1 for rounds: the documents of ``video_ids`` become exactly ``docs``;
-    returns the number written.
+def one_per_clip(docs: DataFrame) -> DataFrame:
+    """One document per ``clip_id``: of different ones with the same id the
+    least as JSON text, so the choice does not depend on the run."""
+    rest = [c for c in docs.columns if c != "clip_id"]
+    return (docs.groupBy("clip_id").agg(F.min_by(F.struct(*rest), F.to_json(F.struct(*rest))).alias("_doc"))
+            .select("clip_id", "_doc.*").select(*docs.columns))
 
-    Documents are appended under a new round id, then the round's videos go to
-    the table of rounds: only that makes the new version visible, so readers
-    of ``current_documents`` see one version of a video, and a round that
-    fails half-way shows nothing.  One writer at a time for a path."""
-    spark = docs.sparkSession
+
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        last = spark.read.parquet(f"{path}/rounds").agg(F.max("round")).first()[0]
+        return spark.read.parquet(path)
     except AnalysisException as e:  # only a target that does not exist yet is empty
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        last = None
-    this = f"{int(last.split('-')[0]) + 1 if last else 1:012d}-{uuid.uuid4().hex}"
+        return None
+
+
+def next_round(spark: SparkSession, path: str) -> str:
+    """An id that sorts after those of all rounds published at ``path``."""
+    rounds = _read_or_none(spark, f"{path}/rounds")
+    last = rounds.agg(F.max("round")).first()[0] if rounds is not None else None
+    return f"{int(last.split('-')[0]) + 1 if last else 1:012d}-{uuid.uuid4().hex}"
+
+
+def write_version(rows: DataFrame, path: str, this: str) -> int:
+    """Append rows under the round id ``this``; nobody sees them yet.  Returns their number."""
     obs = Observation("written")
-    (docs.dropDuplicates(["clip_id"]).withColumn("round", F.lit(this))
-     .observe(obs, F.count(F.lit(1)).alias("documents")).write.mode("append").parquet(f"{path}/documents"))
-    (video_ids.select(F.col("video_id").alias("string_vid"), F.lit(this).alias("round"))
-     .write.mode("append").parquet(f"{path}/rounds"))
-    return int(obs.get.get("documents", 0))
+    (rows.withColumn("round", F.lit(this)).observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").parquet(f"{path}/documents"))
+    return int(obs.get.get("rows", 0))
+
+
+def publish(keys: DataFrame, path: str, this: str) -> None:
+    """Make round ``this`` the current version of ``keys`` (one row each)."""
+    keys.withColumn("round", F.lit(this)).write.mode("append").parquet(f"{path}/rounds")
+
+
+def replace_keys(docs: DataFrame, keys: DataFrame, path: str) -> int:
+    """The documents of ``keys`` become exactly ``docs``; returns the number written.
+
+    Documents are appended under a new round id, then the keys go to the table
+    of rounds: only that makes the new version visible, so readers of
+    ``current`` see one version of a key, and a round that fails half-way
+    shows nothing.  One writer at a time for a path."""
+    this = next_round(docs.sparkSession, path)
+    written = write_version(one_per_clip(docs), path, this)
+    publish(keys, path, this)
+    return written
+
+
+def replace_videos(docs: DataFrame, video_ids: DataFrame, path: str) -> int:
+    """K1 for rounds: ``replace_keys`` by video."""
+    return replace_keys(docs, video_ids.select(F.col("video_id").alias("string_vid")), path)
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of every key as its latest round left them (None: nothing published yet)."""
+    rounds = _read_or_none(spark, f"{path}/rounds")
+    if rounds is None:
+        return None
+    keys = [c for c in rounds.columns if c != "round"]
+    latest = rounds.groupBy(*keys).agg(F.max("round").alias("round"))
+    return spark.read.parquet(f"{path}/documents").join(latest, [*keys, "round"], "left_semi").drop("round")
 
 
 def current_documents(spark: SparkSession, path: str) -> DataFrame:
     """The documents of every video as its latest round left them."""
-    latest = spark.read.parquet(f"{path}/rounds").groupBy("string_vid").agg(F.max("round").alias("round"))
-    return spark.read.parquet(f"{path}/documents").join(latest, ["string_vid", "round"], "left_semi").drop("round")
+    docs = current(spark, path)
+    if docs is None:
+        raise FileNotFoundError(f"no round was published at {path}")
+    return docs
 
 
 def write_json(docs: DataFrame, path: str, mode: str = "append") -> None:

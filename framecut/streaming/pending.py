@@ -14,8 +14,10 @@ A task that becomes pending during the round stays pending.  A round that
 fails before 4 leaves its videos pending, and the next one replaces whatever
 it wrote.  ``job`` is any of ``jobs.clips_all`` (Q8), ``jobs.clips_union`` (Q6)
 and ``jobs.multi_v1`` (Q4).  With ``scope='scene'`` the scene ranking spans all
-videos, so a new video can change scene clips of videos already done; rounds
-leave those as they are, a batch run brings them up to date.
+videos, so a new video can change scene clips of videos already done.  With a
+``scene_store`` a round keeps those up to date as well (``streaming.scenes``);
+its job is then ``jobs.clips_detections``, and ``current_clips`` reads all
+kinds.  Without one, rounds leave scene clips of other videos as they are.
 
 ``pending_stream`` runs rounds with Structured Streaming: the task table is
 a file stream of task rows, each micro-batch is one round (``foreachBatch``),
@@ -32,9 +34,10 @@ from pyspark.sql import functions as F
 
 from framecut import schemas
 from framecut.params import Params
-from framecut.plans.jobs import clips_all
-from framecut.sources.sinks import replace_videos
+from framecut.plans.jobs import clips_all, clips_detections
+from framecut.sources.sinks import current_documents, replace_videos
 from framecut.sources.tables import Inputs, pending_tasks
+from framecut.streaming.scenes import current_scenes, update_scenes
 
 Mark = Callable[[DataFrame], None]
 
@@ -65,25 +68,34 @@ def _fixed(pending: DataFrame, work_dir: str) -> DataFrame:
 
 
 def _round(pending: DataFrame, inp: Inputs, docs_path: str, mark: Mark, work_dir: str,
-           job: Callable[..., DataFrame], p: Params) -> int:
+           job: Callable[..., DataFrame] | None, p: Params, scene_store: str | None) -> int:
     ids = _fixed(pending, work_dir)
     if ids.isEmpty():
         return 0
+    job = job or (clips_all if scene_store is None else clips_detections)
     written = replace_videos(job(inp, p, video_ids=ids), ids, docs_path)
+    if scene_store is not None:
+        written += update_scenes(inp, ids, scene_store, p)
     mark(ids)
     return written
 
 
 def run_round(open_inputs: Callable[[], Inputs], docs_path: str, mark: Mark, work_dir: str,
-              job: Callable[..., DataFrame] = clips_all, p: Params = Params()) -> int:
+              job: Callable[..., DataFrame] | None = None, p: Params = Params(), scene_store: str | None = None) -> int:
     """One round over the pending tasks; returns the number of documents written (K6)."""
     inp = open_inputs()
-    return _round(pending_tasks(inp.tasks), inp, docs_path, mark, work_dir, job, p)
+    return _round(pending_tasks(inp.tasks), inp, docs_path, mark, work_dir, job, p, scene_store)
+
+
+def current_clips(spark: SparkSession, docs_path: str, scene_store: str) -> DataFrame:
+    """All kinds of documents of rounds that kept a ``scene_store``."""
+    docs, scenes = current_documents(spark, docs_path), current_scenes(spark, scene_store)
+    return docs if scenes is None else docs.unionByName(scenes, allowMissingColumns=True)
 
 
 def pending_stream(spark: SparkSession, open_inputs: Callable[[], Inputs], task_dir: str, docs_path: str,
-                   checkpoint: str, mark: Mark, work_dir: str, job: Callable[..., DataFrame] = clips_all,
-                   p: Params = Params(), trigger: dict | None = None,
+                   checkpoint: str, mark: Mark, work_dir: str, job: Callable[..., DataFrame] | None = None,
+                   p: Params = Params(), scene_store: str | None = None, trigger: dict | None = None,
                    on_round: Callable[[int, int], None] | None = None):
     """A streaming query over new task files in ``task_dir`` (rows
     ``video_id, status``); every micro-batch is a round over its pending
@@ -94,7 +106,7 @@ def pending_stream(spark: SparkSession, open_inputs: Callable[[], Inputs], task_
     tasks = spark.readStream.schema(schemas.TASK).parquet(task_dir)
 
     def round_(batch: DataFrame, epoch: int) -> None:
-        n = _round(pending_tasks(batch), open_inputs(), docs_path, mark, work_dir, job, p)
+        n = _round(pending_tasks(batch), open_inputs(), docs_path, mark, work_dir, job, p, scene_store)
         if on_round:
             on_round(epoch, n)
 

@@ -99,3 +99,25 @@ def test_merge_combines_copies_before_the_first_shuffle(spark):
     assert firsts
     for i in firsts:
         assert "Aggregate" in lines[i + 1] and "partial_" in lines[i + 1], lines[i + 1]
+
+
+def test_single_and_multi_clips_share_one_ordered_scan(spark):
+    """Detections are read and shuffled once for both kinds: what differs
+    starts above the last exchange of the scan, which the second kind reuses."""
+    from framecut.plans import jobs
+    from framecut.sources import fixtures
+    docs = jobs.clips_detections(fixtures.inputs(spark, SF01))
+    docs.collect()
+    txt = docs._jdf.queryExecution().executedPlan().toString()
+    final = txt.split("== Initial Plan ==")[0]
+    assert final.count("events.parquet") == 1 and "ReusedExchange" in final
+
+
+def test_repeated_videos_do_not_multiply_documents(spark):
+    from dataclasses import replace
+    from framecut.plans import jobs
+    from framecut.sources import fixtures
+    inp = fixtures.inputs(spark, SF01)
+    twice = replace(inp, videos=inp.videos.unionByName(inp.videos))
+    docs = jobs.clips_all(twice)
+    assert docs.count() == jobs.clips_all(inp).count() == docs.select("clip_id").distinct().count()

@@ -21,17 +21,15 @@ def typed(members: Column, code: str, f: str = "n") -> Column:
 
 
 def label_to_image(members: Column) -> Column:
-    """Label -> image, the last member of a label wins (a map built
-    from one entry per label, so duplicate keys never reach
-    ``map_from_entries``)."""
-    last = F.filter(members, lambda x, i: ~F.exists(F.slice(members, i + 2, F.size(members)),
-                                                   lambda y: y["n"] == x["n"]))
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["n"], x["img"])))
-
-
-def sorted_members(member: Column) -> Column:
-    """A10 as an aggregate: ``collect_list`` sorted by the struct order."""
-    return F.array_sort(F.collect_list(member))
+    """Label -> image, the last member of a label wins.  The members are
+    sorted by label and place; the last of each label has another label, or
+    nothing, after it.  Members without a label are in no map."""
+    named = F.filter(F.transform(members, lambda x, i: F.struct(x["n"].alias("n"), i.alias("i"), x["img"].alias("img"))),
+                     lambda x: x["n"].isNotNull())
+    ordered = F.array_sort(named)
+    pairs = F.arrays_zip(ordered.alias("x"), F.slice(ordered, F.lit(2), F.size(members)).alias("y"))
+    last = F.filter(pairs, lambda p: p["y"].isNull() | (p["y"]["n"] != p["x"]["n"]))
+    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["x"]["n"], p["x"]["img"])))
 
 
 def joined(arr: str | Column, sep: str = "|") -> Column:

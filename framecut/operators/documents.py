@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from framecut import params as P
 from framecut.functions.intervals import duration, range_label
-from framecut.functions.lists import field, label_to_image, sorted_members, typed
+from framecut.functions.lists import field, label_to_image, typed
 from framecut.operators.normalize import video_attributes
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
@@ -28,11 +28,6 @@ def member_struct() -> Column:
                     F.col("ad_seat_img").alias("img"))
 
 
-def collect_members() -> Column:
-    """A10: the members of a clip in (begin, detection_id) order."""
-    return sorted_members(member_struct())
-
-
 _field, _typed, _label_to_img = field, typed, label_to_image
 
 

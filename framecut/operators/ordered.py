@@ -31,7 +31,7 @@ def bucket_of(t: str | Column, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
-def _with_head(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int | Column, reach: str, head: str) -> DataFrame:
+def with_head(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int | Column, reach: str, head: str) -> DataFrame:
     """Adds ``head``: the ``t`` of the first row of the island of each row
     (one window partition per combination of ``keys``)."""
     w = Window.partitionBy(*keys).orderBy(t)
@@ -60,10 +60,10 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int | Col
     if reach not in ("last", "max"):
         raise ValueError(f"reach must be 'last' or 'max', not {reach!r}")
     keys = list(keys)
-    rows = _with_head(df.withColumn(BK, bucket_of(t, width)), [*keys, BK], t, end, gap, reach, LOCAL)
+    rows = with_head(df.withColumn(BK, bucket_of(t, width)), [*keys, BK], t, end, gap, reach, LOCAL)
     local = rows.groupBy(*keys, BK, LOCAL).agg(
         (F.max_by(end, t) if reach == "last" else F.max(end)).alias("_lend"), *partial)
-    whole = _with_head(local, keys, LOCAL, "_lend", gap, reach, head)
+    whole = with_head(local, keys, LOCAL, "_lend", gap, reach, head)
     return whole.groupBy(*keys, head).agg(*final)
 
 

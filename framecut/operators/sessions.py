@@ -5,13 +5,13 @@ with reach := its end; the next row joins when ``begin - reach <= gap``.
 
 * ``reach='last'`` (reference): on a join, reach := max(begin, reach).  So the
   ends of later members never hold the cluster open; only the end of the
-  cluster's first row and the begins count.  This is computed in two steps:
-  runs (``begin - previous begin <= gap`` always joins), then a fold over the
-  run heads of each video: a head joins the open cluster when
-  ``head.begin - first.end <= gap``.  Heads of one video are more than ``gap``
-  apart in media time, so a video has at most media length / gap heads, and
-  that list is what is folded per video; the rows themselves are never
-  collected.
+  cluster's first row and the begins count.  This is computed in steps that
+  share one shuffle by video: runs (``begin - previous begin <= gap`` always
+  joins); chains of runs (a run head beyond every earlier head's end opens a
+  cluster whatever happened before); and inside a chain a fold over its heads:
+  a head joins the open cluster when ``head.begin - first.end <= gap``.  A
+  chain is a stretch that heads' ends overlap without a break, as a rule one
+  run; only its heads are folded, and clusters are slices of it.
 * ``reach='max'``: reach is the running max of the ends (plain islands).
 * ``session_window``: the same clusters as ``'max'`` with Spark's session
   window and a per-row gap of ``end - begin + gap``; this is the form that
@@ -20,36 +20,44 @@ with reach := its end; the next row joins when ``begin - reach <= gap``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecut.functions.intervals import gap_interval, media_time
-from framecut.operators.ordered import islands
+from framecut.operators.ordered import islands, with_head
 from framecut.params import BUCKET_MS
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
 START = "cluster_start"
 
 
-def _fold_heads(heads: DataFrame, gap_ms: int) -> DataFrame:
-    """Per video: the cluster start of every run head (_run, _e_first)."""
-    per_video = heads.groupBy("video_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_run").alias("b"), F.col("_e_first").alias("e")))).alias("hs"))
-    init = F.struct(F.lit(None).cast("bigint").alias("reach"), F.array().cast("array<bigint>").alias("starts"))
+def _clusters(runs: DataFrame, gap_ms: int) -> DataFrame:
+    """The clusters of ``reach='last'`` from runs (video_id, _run, _items)."""
+    # the end that counts for a head is the one of its first row
+    heads = runs.withColumn("_e_first", F.array_min("_items")["e"])
+    chains = (with_head(heads, ["video_id"], "_run", "_e_first", gap_ms, "max", "_chain")
+              .groupBy("video_id", "_chain").agg(F.array_sort(F.collect_list(F.struct(
+                  F.col("_run").alias("b"), F.col("_e_first").alias("e"), F.col("_items").alias("items")))).alias("_hs")))
+    start = F.struct(F.col("_chain").alias("b"), F.lit(1).alias("at"))
+    init = F.struct(F.lit(None).cast("bigint").alias("reach"), F.lit(1).alias("at"),
+                    F.array().cast("array<struct<b:bigint,at:int>>").alias("starts"))
 
     def step(acc, x):
         joins = acc["reach"].isNotNull() & (x["b"] - acc["reach"] <= F.lit(gap_ms))
-        return F.when(joins, acc).otherwise(F.struct(
-            x["e"].alias("reach"), F.array_append(acc["starts"], x["b"]).alias("starts")))
-
-    starts = F.aggregate("hs", init, step, lambda acc: acc["starts"])
-    none = F.lit(None).cast("bigint")
-    entries = F.concat(F.transform("hs", lambda h: F.struct(h["b"].alias("b"), none.alias("s"))),
-                       F.transform(starts, lambda s: F.struct(s.alias("b"), s.alias("s"))))
-    upto = Window.partitionBy("video_id").orderBy("_run").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return (per_video.select("video_id", F.explode(entries).alias("x"))
-            .select("video_id", F.col("x.b").alias("_run"), F.col("x.s").alias("_s"))
-            .withColumn(START, F.max("_s").over(upto)).where(F.col("_s").isNull()).drop("_s"))
+        opened = F.struct(x["b"].alias("b"), acc["at"].alias("at"))
+        return F.struct(F.when(joins, acc["reach"]).otherwise(x["e"]).alias("reach"), (acc["at"] + 1).alias("at"),
+                        F.when(joins, acc["starts"]).otherwise(F.array_append(acc["starts"], opened)).alias("starts"))
+
+    folded = F.aggregate(F.transform("_hs", lambda h: F.struct(h["b"].alias("b"), h["e"].alias("e"))), init, step,
+                         lambda acc: acc["starts"])
+    begun = chains.withColumn("_starts", F.when(F.size("_hs") == 1, F.array(start)).otherwise(folded))
+    after = F.slice(F.transform("_starts", lambda s: s["at"]), F.lit(2), F.size("_starts"))
+    parts = begun.withColumn("_parts", F.arrays_zip(F.col("_starts").alias("s"), after.alias("next")))
+    cluster = F.transform("_parts", lambda p: F.struct(
+        p["s"]["b"].alias(START),
+        F.flatten(F.transform(F.slice("_hs", p["s"]["at"], F.coalesce(p["next"], F.size("_hs") + 1) - p["s"]["at"]),
+                              lambda h: h["items"])).alias("_items")))
+    return parts.select("video_id", F.inline(cluster))
 
 
 def sessions(m: DataFrame, gap_ms: int, reach: str = "last", member: Column | None = None,
@@ -74,11 +82,7 @@ def sessions(m: DataFrame, gap_ms: int, reach: str = "last", member: Column | No
                    final=[F.flatten(F.collect_list("_items")).alias("_items")])
     if reach == "max":
         return runs
-    # the end that counts for a head is the one of its first row; it is taken
-    # from the list, so both sides of the join read the same shuffled rows
-    heads = runs.select("video_id", "_run", F.array_min("_items")["e"].alias("_e_first"))
-    return (runs.join(_fold_heads(heads, gap_ms), ["video_id", "_run"])
-            .groupBy("video_id", START).agg(F.flatten(F.collect_list("_items")).alias("_items")))
+    return _clusters(runs, gap_ms)
 
 
 def assign_sessions(m: DataFrame, gap_ms: int, reach: str = "last",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecut.functions.intervals import padded_begin, padded_end
-from framecut.operators.ordered import LOCAL, islands
+from framecut.operators.ordered import LOCAL, fold_islands, local_islands
 from framecut.params import BUCKET_MS
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
@@ -35,10 +35,15 @@ def merge_same_label(det: DataFrame, gap_ms: int | Column, pad_ms: int = 0, reac
     it is the running maximum.  Begin = the first begin; the other attributes
     come from the first row.  ``n_detections`` counts the merged rows.
     """
+    return fold_merge(local_merge(det, gap_ms, pad_ms, reach, keys, bucket_ms), gap_ms, reach, keys)
+
+
+def local_merge(det: DataFrame, gap_ms: int | Column, pad_ms: int = 0, reach: str = "last",
+                keys: Sequence[str] = LABEL_KEYS, bucket_ms: int = BUCKET_MS) -> DataFrame:
+    """The merged intervals inside every media-time bucket, the input of ``fold_merge``."""
     keys = list(keys)
     x = pad(det, pad_ms)
-    null_label = "class3_name" in keys  # rows without label are a group of their own
-    if null_label:
+    if "class3_name" in keys:  # rows without label are a group of their own
         x = x.withColumn("class3_name", F.coalesce("class3_name", F.lit(NO_LABEL)))
     by_id = F.struct(*(c for c in (ID, "source") if c in x.columns))
     attrs = [c for c in x.columns if c not in (*keys, B, E)]
@@ -51,14 +56,20 @@ def merge_same_label(det: DataFrame, gap_ms: int | Column, pad_ms: int = 0, reac
         F.count(F.lit(1)).alias("_n"),
     )
     end = "_e_last" if reach == "last" else "_e_max"
-    merged = islands(
-        g, keys, B, end, gap_ms, reach, bucket_ms, head="_head",
-        partial=[F.min_by("_row", B).alias("_row"), F.sum("_n").alias("_n")],
+    return local_islands(g, keys, B, end, gap_ms, reach, bucket_ms,
+                         [F.min_by("_row", B).alias("_row"), F.sum("_n").alias("_n")])
+
+
+def fold_merge(local: DataFrame, gap_ms: int | Column, reach: str = "last",
+               keys: Sequence[str] = LABEL_KEYS) -> DataFrame:
+    """Merged intervals of whole groups from those of their buckets."""
+    merged = fold_islands(
+        local, keys, gap_ms, reach, head="_head",
         final=[F.min_by("_row", LOCAL).alias("_row"),
                (F.max_by("_lend", LOCAL) if reach == "last" else F.max("_lend")).alias(E),
                F.sum("_n").alias("n_detections")])
     out = merged.select(*keys, F.col("_head").alias(B), E, "_row.*", "n_detections")
-    return out.withColumn("class3_name", F.nullif("class3_name", F.lit(NO_LABEL))) if null_label else out
+    return out.withColumn("class3_name", F.nullif("class3_name", F.lit(NO_LABEL))) if "class3_name" in keys else out
 
 
 def merge_kinds(det: DataFrame, pad_ms: int, gap_ms: int, reach: str = "last",

@@ -57,14 +57,28 @@ def islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int | Col
     order.  Rows may share a ``t`` when their order cannot matter: with
     ``reach='max'`` (if end >= t), or when ``end`` is ``t`` itself.
     """
+    local = local_islands(df, keys, t, end, gap, reach, width, partial)
+    return fold_islands(local, keys, gap, reach, final, head)
+
+
+def local_islands(df: DataFrame, keys: Sequence[str], t: str, end: str, gap: int | Column, reach: str, width: int,
+                  partial: Sequence[Column]) -> DataFrame:
+    """The first step of ``islands``: one row (keys, bucket, ``_local``,
+    ``_lend``, ``partial``) per island of a bucket.  A bucket's rows depend on
+    the bucket's input only, so they can be stored and replaced by bucket."""
     if reach not in ("last", "max"):
         raise ValueError(f"reach must be 'last' or 'max', not {reach!r}")
     keys = list(keys)
     rows = with_head(df.withColumn(BK, bucket_of(t, width)), [*keys, BK], t, end, gap, reach, LOCAL)
-    local = rows.groupBy(*keys, BK, LOCAL).agg(
+    return rows.groupBy(*keys, BK, LOCAL).agg(
         (F.max_by(end, t) if reach == "last" else F.max(end)).alias("_lend"), *partial)
-    whole = with_head(local, keys, LOCAL, "_lend", gap, reach, head)
-    return whole.groupBy(*keys, head).agg(*final)
+
+
+def fold_islands(local: DataFrame, keys: Sequence[str], gap: int | Column, reach: str, final: Sequence[Column],
+                 head: str = "head") -> DataFrame:
+    """The second step of ``islands``: islands of a group from those of its buckets."""
+    keys = list(keys)
+    return with_head(local, keys, LOCAL, "_lend", gap, reach, head).groupBy(*keys, head).agg(*final)
 
 
 def with_next(df: DataFrame, keys: Sequence[str], t: str, width: int, out: str = "next") -> DataFrame:

@@ -26,6 +26,7 @@ from framecut.plans import jobs
 from framecut.sources import fixtures
 from framecut.sources.tables import pending_tasks
 from framecut.session import ensure_checkpoint_dir
+from framecut.streaming.islands import add_detections, merged_intervals
 from framecut.streaming.pending import mark_processed
 from framecut.streaming.scenes import current_scenes, update_scenes
 
@@ -269,6 +270,16 @@ def clips_scene_rounds(spark, sf):
     return flat(current_scenes(spark, store).drop("kind", "clip_id"))
 
 
+def merge_rounds(spark, sf):
+    """I3 in rounds: detections arrive in two halves that interleave; the
+    intervals folded from the stored islands are those of one merge."""
+    store, gap = f"{ensure_checkpoint_dir(spark)}/merge-rounds-{uuid.uuid4().hex}", Params().gap_ms
+    det = _narrow(spark, sf)
+    for k in range(2):
+        add_detections(det.where(F.col("detection_id") % 2 == k), store, gap)
+    return _known(merged_intervals(spark, store, gap), spark, sf)
+
+
 def _twice(videos):
     """Every video also under another name and area."""
     return videos.unionByName(videos.withColumn("videoName", F.concat("videoName", F.lit(" again")))
@@ -338,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "clips_scene_tagged": clips_scene_tagged,
     "clips_all": clips_all,
     "clips_scene_rounds": clips_scene_rounds,
+    "merge_rounds": merge_rounds,
     "clips_duplicate_videos": clips_duplicate_videos,
     "duplicate_videos": duplicate_videos,
     "clip_counts": clip_counts,

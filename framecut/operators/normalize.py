@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from framecut import params as P
@@ -39,9 +39,10 @@ def broadcast_checked(dim: DataFrame, max_rows: int = P.MAX_BROADCAST_ROWS) -> D
     return F.broadcast(dim) if n <= max_rows else dim
 
 
-def label_detections(det: DataFrame, labels: DataFrame) -> DataFrame:
+def label_detections(det: DataFrame, labels: DataFrame, keep_unknown: bool = False) -> DataFrame:
     """J1 + P1: detection x label dimension (inner, on ``class_id``), renamed to
-    the narrow unified layout.  The label dimension is broadcast after a row
+    the narrow unified layout.  ``keep_unknown`` keeps detections of unknown
+    classes, with null labels, and adds ``known_class``.  The label dimension is broadcast after a row
     count check: read over JDBC its size is unknown to Spark, and a shuffle
     of all detections on ``class_id`` (a few hot keys) must not happen."""
     lab = broadcast_checked(labels).select(
@@ -49,14 +50,16 @@ def label_detections(det: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("class1_name").alias("class2_name"),
         F.col("class_type").alias("class_type_id"),
         F.col("class2_name").alias("class3_name"),
+        F.lit(True).alias("_known"),
     )
-    return det.join(lab, "class_id").select(
+    known = [F.coalesce("_known", F.lit(False)).alias("known_class")] if keep_unknown else []
+    return det.join(lab, "class_id", "left" if keep_unknown else "inner").select(
         F.col("media_id").alias("video_id"),
         "class2_name", "class_type_id", "class3_name",
         F.col("time_start").alias("ad_seat_b_time"),
         F.col("time_end").alias("ad_seat_e_time"),
         F.col("object_img").alias("ad_seat_img"),
-        "detection_id", "source",
+        "detection_id", "source", *known,
     )
 
 
@@ -104,30 +107,62 @@ def labelled(det: DataFrame) -> DataFrame:
     return det.where(F.col("class3_name").isNotNull())
 
 
-def rejected_counts(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame) -> DataFrame:
-    """Data quality of the input: (reason, n_rows) of rejected rows, of null
-    labels (rejected by single-label clips only) and of unknown label types."""
-    narrow = label_detections(unify_sources(det), labels)
-    reason = reject_reason()
-    unknown = ~F.coalesce(F.col("class_type_id").isin(*P.KNOWN_TYPES), F.lit(False))
-    reasons = F.filter(F.array(
-        reason, F.when(reason.isNull() & F.col("class3_name").isNull(), "null_label"),
-        F.when(reason.isNull() & unknown, "unknown_type")), lambda r: r.isNotNull())
-    return narrow.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+#: Why a row, or a part of its use, is missing from the clips.
+REASONS = ("null_video", "null_offset", "ends_before_begin", "unknown_class", "null_label", "unknown_type", "unknown_video")
+
+
+def _reasons(known_video: Column | None = None) -> dict[str, Column]:
+    """Condition of every reason, over ``label_detections(keep_unknown=True)``.
+
+    A row is rejected for the first of its own faults, or else because its
+    class is unknown.  Rows that are not rejected count under null label
+    (rejected by single-label clips only), unknown label type (in no typed
+    list) and unknown video (no document), whichever apply."""
+    own = reject_reason()
+    ok = own.isNull() & F.col("known_class")
+    out = {r: F.coalesce(own == r, F.lit(False)) for r in REASONS[:3]}
+    out["unknown_class"] = own.isNull() & ~F.col("known_class")
+    out["null_label"] = ok & F.col("class3_name").isNull()
+    out["unknown_type"] = ok & ~F.coalesce(F.col("class_type_id").isin(*P.KNOWN_TYPES), F.lit(False))
+    if known_video is not None:
+        out["unknown_video"] = ok & ~known_video
+    return out
+
+
+def rejected_counts(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame,
+                    videos: DataFrame | None = None) -> DataFrame:
+    """Data quality of the input: (reason, n_rows), see ``_reasons``; unknown
+    videos only when ``videos`` is given."""
+    narrow = label_detections(unify_sources(det), labels, keep_unknown=True)
+    known = None
+    if videos is not None:
+        ids = videos.select(F.col("videoId").alias("video_id"), F.lit(True).alias("_video")).distinct()
+        narrow = narrow.join(broadcast_checked(ids), "video_id", "left")
+        known = F.coalesce("_video", F.lit(False))
+    found = F.array(*(F.when(c, F.lit(r)) for r, c in _reasons(known).items()))
+    return (narrow.select(F.explode(F.filter(found, lambda r: r.isNotNull())).alias("reason")).groupBy("reason")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
 
 
-def normalize(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame) -> DataFrame:
+def normalize(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame,
+              rejects: Observation | None = None) -> DataFrame:
     """The narrow, valid detections (``rejected_counts`` counts the rest).
 
+    With ``rejects``, the rows are counted per reason in the pass that reads
+    them: after the caller's action ``rejects.get`` has a number for every
+    reason but the unknown videos.  The filters then stand above the count and
+    not in the scan.
+
     Detections of videos missing from the video table are dropped later, where
     it is cheapest: the per-video clip jobs join the video attributes (inner)
     once per clip, and the scene job checks the videos on the per-label screen
     times before ranking across videos.  So the raw detections are never
     shuffled for this check."""
-    narrow = label_detections(unify_sources(det), labels)
-    valid, _ = split_valid(narrow)
-    return valid
+    if rejects is None:
+        return split_valid(label_detections(unify_sources(det), labels))[0]
+    narrow = label_detections(unify_sources(det), labels, keep_unknown=True)
+    counted = narrow.observe(rejects, *(F.count(F.when(c, F.lit(1))).alias(r) for r, c in _reasons().items()))
+    return split_valid(counted.where("known_class").drop("known_class"))[0]
 
 
 def enrich(det: Mapping[str, DataFrame] | DataFrame, labels: DataFrame, videos: DataFrame,

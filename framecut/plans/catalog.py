@@ -115,6 +115,15 @@ def rejected_counts(spark, sf):
     return N.rejected_counts(inp.detections, inp.labels)
 
 
+def rejected_counts_all(spark, sf):
+    """The dirty detections, some of them also of an unknown class or video."""
+    inp = _dirty_inputs(spark, sf)
+    at = F.regexp_extract("object_img", "[0-9]+", 0).cast("bigint")
+    det = (inp.detections.withColumn("class_id", F.when(at % 31 == 0, 99).otherwise(F.col("class_id")).cast("bigint"))
+           .withColumn("media_id", F.when(at % 37 == 0, "nobody").otherwise(F.col("media_id"))))
+    return N.rejected_counts(det, inp.labels, inp.videos)
+
+
 def _known(df, spark, sf):
     """Keep rows of videos present in the video table (checked on the
     operator's output, which is smaller than its input)."""
@@ -336,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "clips_multi_dirty": clips_multi_dirty,
     "clips_scene_dirty": clips_scene_dirty,
     "rejected_counts": rejected_counts,
+    "rejected_counts_all": rejected_counts_all,
     "clips_union_v2": clips_union_v2,
     "clips_all_for_videos": clips_all_for_videos,
     "clips_multi_v1": _multi(1),

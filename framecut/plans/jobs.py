@@ -8,7 +8,7 @@ DataFrame of ``video_id``) restricts every kind to the requested videos (T5).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from framecut.operators import documents as D
@@ -22,8 +22,9 @@ from framecut.sources.tables import Inputs
 B, E = "ad_seat_b_time", "ad_seat_e_time"
 
 
-def detections(inp: Inputs, video_ids: DataFrame | list[str] | None = None) -> DataFrame:
-    det = normalize(inp.detections, inp.labels)
+def detections(inp: Inputs, video_ids: DataFrame | list[str] | None = None,
+               rejects: Observation | None = None) -> DataFrame:
+    det = normalize(inp.detections, inp.labels, rejects)
     return for_videos(det, video_ids) if video_ids is not None else det
 
 
@@ -101,22 +102,23 @@ def _by_kind(parts: dict[str, DataFrame]) -> DataFrame:
 
 
 def clips_detections(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None,
-                     version: int = 3, typed: bool = True) -> DataFrame:
+                     version: int = 3, typed: bool = True, rejects: Observation | None = None) -> DataFrame:
     """The single and multi-label documents (of Q8 by default) from one ordered
-    scan of the detections."""
-    touching, near = merge_kinds(detections(inp, video_ids), p.pad_ms, p.gap_ms, p.reach, p.bucket_ms)
+    scan of the detections; ``rejects`` counts in it what is left out."""
+    touching, near = merge_kinds(detections(inp, video_ids, rejects), p.pad_ms, p.gap_ms, p.reach, p.bucket_ms)
     return _by_kind({"single": D.single_documents(_single(touching, p), inp.videos, typed),
                      "multi": D.multi_documents(_multi(near, p), inp.videos, version)})
 
 
-def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None) -> DataFrame:
+def clips_all(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None,
+              rejects: Observation | None = None) -> DataFrame:
     """Q8 / Q9 (U3): typed single clips, multi v3 and tagged scene clips in one
     DataFrame with a ``kind`` column and a stable ``clip_id``.  Single and
     multi-label clips share one ordered scan of the detections; the scene part
     reads them again, as a second scan of pruned columns costs less than
     another shuffle of all detections."""
     scene = _by_kind({"scene": clips_scene(inp, p, tagged=True, video_ids=video_ids)})
-    return clips_detections(inp, p, video_ids).unionByName(scene, allowMissingColumns=True)
+    return clips_detections(inp, p, video_ids, rejects=rejects).unionByName(scene, allowMissingColumns=True)
 
 
 def multi_v1(inp: Inputs, p: Params = Params(), video_ids: DataFrame | list[str] | None = None) -> DataFrame:

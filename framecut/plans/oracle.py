@@ -407,3 +407,24 @@ ORACLE_SQL["clips_duplicate_videos"] = ORACLE_SQL["clips_single"]
 ORACLE_SQL["duplicate_videos"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS "videoId", CAST(2 AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS n_different
 FROM customer"""
+
+STRANGE = """strange AS (
+  SELECT CASE WHEN n % 37 = 0 THEN 'nobody' WHEN n % 19 = 0 THEN NULL ELSE media_id END AS media_id,
+         CASE WHEN n % 31 = 0 THEN 99 WHEN n % 11 = 0 THEN 6 WHEN n % 29 = 0 THEN 7 ELSE class_id END AS class_id,
+         CASE WHEN n % 13 = 0 THEN -1000 ELSE time_start END AS b,
+         CASE WHEN n % 17 = 0 THEN -2000 WHEN n % 23 = 0 THEN NULL ELSE time_end END AS e
+  FROM (SELECT *, detection_id AS n FROM det))"""
+LABELS = """labels2 AS (
+  SELECT class_id, class_type, class2_name, true AS known FROM lab
+  UNION ALL SELECT * FROM (VALUES (6, '2', NULL, true), (7, '9', 'odd', true)))"""
+ORACLE_SQL["rejected_counts_all"] = with_(STRANGE, LABELS) + """
+SELECT reason, count(*) AS n_rows FROM (
+  SELECT unnest([own, CASE WHEN own IS NULL AND known IS NULL THEN 'unknown_class' END,
+                 CASE WHEN ok AND class2_name IS NULL THEN 'null_label' END,
+                 CASE WHEN ok AND class_type NOT IN ('1', '2', '3', '4') THEN 'unknown_type' END,
+                 CASE WHEN ok AND media_id NOT IN (SELECT videoId FROM vid) THEN 'unknown_video' END]) AS reason
+  FROM (SELECT *, own IS NULL AND known IS NOT NULL AS ok FROM (
+    SELECT s.media_id, l.*, CASE WHEN media_id IS NULL THEN 'null_video' WHEN b IS NULL OR e IS NULL THEN 'null_offset'
+                                 WHEN e < b THEN 'ends_before_begin' END AS own
+    FROM strange s LEFT JOIN labels2 l USING (class_id))))
+WHERE reason IS NOT NULL GROUP BY reason"""

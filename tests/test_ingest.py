@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from framecut.operators.normalize import for_videos, label_detections, normalize, rejected_counts, split_valid
 from framecut.plans import jobs
@@ -74,3 +75,17 @@ def test_sink_raises_on_a_bad_target_and_writes_an_id_once(spark, scratch):
     spark.range(2).write.parquet(scratch + "/other")
     with pytest.raises(Exception):
         sinks.append_new(docs, scratch + "/other")
+
+
+def test_rejects_are_counted_in_the_pass_that_reads(spark):
+    """One scan gives the documents and a number for every reason."""
+    from pyspark.sql import Observation
+    from framecut.plans.catalog import _dirty_inputs
+    inp = _dirty_inputs(spark, SF001)
+    inp.detections = inp.detections.withColumn("class_id", F.when(F.col("detection_id") % 9 == 0, 99).otherwise(F.col("class_id")))
+    seen = Observation("rejects")
+    docs = jobs.clips_detections(inp, rejects=seen)
+    got = docs.select("clip_id").collect()
+    want = {r["reason"]: r["n_rows"] for r in rejected_counts(inp.detections, inp.labels).collect()}
+    assert {k: n for k, n in seen.get.items() if n} == want and want["unknown_class"] > 0
+    assert sorted(got) == sorted(jobs.clips_detections(inp).select("clip_id").collect())

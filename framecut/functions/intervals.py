@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Event time of media offset 0, in ms since 1970.
+MEDIA_EPOCH_MS = 1_000_000_000_000
+
+
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -30,8 +34,11 @@ def range_label(b: str | Column, e: str | Column) -> Column:
 
 
 def media_time(b: str | Column) -> Column:
-    """A media offset in ms used as event time (streaming sessions)."""
-    return F.timestamp_millis(_c(b))
+    """A media offset in ms used as event time (streaming sessions).  Offset 0
+    lies ``MEDIA_EPOCH_MS`` after 1970, where a stream's watermark begins: an
+    event time at or before it would be late from the start, and begins may be
+    0 or negative."""
+    return F.timestamp_millis(_c(b) + F.lit(MEDIA_EPOCH_MS))
 
 
 def gap_interval(b: str | Column, e: str | Column, gap_ms: int) -> Column:

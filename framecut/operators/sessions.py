@@ -29,6 +29,8 @@ from framecut.params import BUCKET_MS
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
 START = "cluster_start"
+#: Media time as event time.
+EVENT_TIME = "_ts"
 
 
 def _clusters(runs: DataFrame, gap_ms: int) -> DataFrame:
@@ -113,10 +115,12 @@ def session_window_summary(m: DataFrame, gap_ms: int, label: str = "class3_name"
     ``session_summary``; Spark merges sessions partially before the shuffle,
     but the partial groups are keyed by each row's own window, so a video's
     sessions merge in one task; batch jobs use the bucketed ``reach='max'``."""
-    ts = media_time(B)
-    gap = gap_interval(B, E, gap_ms)
-    return (m.withColumn("_ts", ts)
-            .groupBy("video_id", F.session_window("_ts", gap).alias("_sw"))
+    return session_windows(m.withColumn(EVENT_TIME, media_time(B)), gap_ms, label)
+
+
+def session_windows(m: DataFrame, gap_ms: int, label: str = "class3_name") -> DataFrame:
+    """The sessions of batch or streaming rows that have their ``EVENT_TIME``."""
+    return (m.groupBy("video_id", F.session_window(EVENT_TIME, gap_interval(B, E, gap_ms)).alias("_sw"))
             .agg(F.min(B).alias("cluster_b"), F.max(E).alias("cluster_e"),
                  F.count(F.lit(1)).cast("bigint").alias("n_members"),
                  F.concat_ws("|", F.transform(_members(label), lambda x: x["v"])).alias("labels"))

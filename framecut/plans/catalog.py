@@ -124,6 +124,12 @@ def rejected_counts_all(spark, sf):
     return N.rejected_counts(det, inp.labels, inp.videos)
 
 
+def known_types_dirty(spark, sf):
+    """P9 where it bites: null labels and types outside 1..4."""
+    inp = _dirty_inputs(spark, sf)
+    return N.known_types(N.enrich(inp.detections, inp.labels, inp.videos))
+
+
 def _known(df, spark, sf):
     """Keep rows of videos present in the video table (checked on the
     operator's output, which is smaller than its input)."""
@@ -344,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "clips_single_dirty": clips_single_dirty,
     "clips_multi_dirty": clips_multi_dirty,
     "clips_scene_dirty": clips_scene_dirty,
+    "known_types_dirty": known_types_dirty,
     "rejected_counts": rejected_counts,
     "rejected_counts_all": rejected_counts_all,
     "clips_union_v2": clips_union_v2,

@@ -428,3 +428,4 @@ SELECT reason, count(*) AS n_rows FROM (
                                  WHEN e < b THEN 'ends_before_begin' END AS own
     FROM strange s LEFT JOIN labels2 l USING (class_id))))
 WHERE reason IS NOT NULL GROUP BY reason"""
+ORACLE_SQL["known_types_dirty"] = _dirty(ORACLE_SQL["detections_known_types"])

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from framecut.operators.merge import merge_same_label
 from framecut.operators.normalize import normalize
-from framecut.operators.sessions import session_summary
+from framecut.operators.sessions import session_summary, session_window_summary
 from framecut.plans import jobs
 from framecut.sources import fixtures
 from framecut.sources.sinks import current_documents
 from framecut.sources.tables import Inputs
 from framecut.streaming.pending import new_task_version, pending_stream, run_round
-from framecut.streaming.sessions import stream_sessions
+from framecut.streaming.sessions import stream_detections, stream_sessions
 from tests.conftest import SF001
 
 DET = "media_id string, class_id long, time_start long, time_end long, object_img string, detection_id string"
@@ -154,3 +154,25 @@ def test_a_job_sees_files_added_since_the_last_one(spark, scratch):
     assert {v for _, v in seen()} == {"v"}
     _add(spark, scratch, [("w", 2, 0, 8_000, "k", "2")])
     assert seen() == {(k, v) for k in ("single", "multi") for v in "vw"}
+
+
+def test_a_file_delivered_twice_adds_nothing_to_the_stream(spark, scratch):
+    """Streamed ingest joins the labels, drops what comes again and rejects what batch rejects: its sessions are those
+    of the batch over the file."""
+    schema = DET.replace("detection_id string", "detection_id long")
+    rows = [("v", 1, b, b + 4_000, f"i{b}", k) for k, b in enumerate(range(0, 90_000, 9_000))]
+    rows += [("w", 2, -500, 3_000, "n", 49), ("w", 2, 30_000, 31_000, "j", 50), ("w", 7, 32_000, 33_000, "j", 51), ("w", 1, 40_000, 20_000, "j", 52)]
+    end = [("z", 1, 900_000, 900_001, "e", 99)]  # moves the watermark past everything else
+    labels = spark.createDataFrame(
+        [(1, "1", "a", "x"), (2, "2", "b", "y")], "class_id long, class_type string, class1_name string, class2_name string")
+    for part in (rows, rows, end):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+    q = (stream_sessions(stream_detections({"face": stream}, labels), 10_000).writeStream.format("memory")
+         .queryName("fc_twice").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = sorted(map(tuple, spark.sql("SELECT video_id, cluster_b, cluster_e, n_members, labels FROM fc_twice").collect()))
+    det = normalize({"face": spark.createDataFrame(rows, schema)}, labels)
+    want = sorted(map(tuple, session_window_summary(det, 10_000).select(
+        "video_id", "cluster_b", "cluster_e", "n_members", "labels").collect()))
+    assert got == want and len(want) == 3

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import per_partition, table_path, text_of
-from .tokens import portions, with_end
+from .tokens import forget, portions, with_end
 
 #: Words broadcast with their counts, at most.
 FREQUENT = 200_000
@@ -100,6 +100,7 @@ def _counted(batches):
                 ["word", "n", "learned"])
             docs, mine = part.num_rows, pc.sum(part.column(0)).as_py()
             yield pa.RecordBatch.from_pydict({"word": [END], "n": [docs], "learned": [mine]})
+    forget()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -336,8 +337,9 @@ class Lanes:
         lane = place[lane]
         begin = np.cumsum(n) - n
         # step and lane of every token, in the order of ``codes``
-        self.step = np.repeat(at - begin, n) + np.arange(codes.size)
-        self.lane = np.repeat(lane, n)
+        self.step = np.repeat((at - begin).astype(np.int32), n)
+        self.step += np.arange(codes.size, dtype=np.int32)
+        self.lane = np.repeat(lane.astype(np.int32), n)
         self.targets = np.full((int(self.length[0]), count), end, np.int32)
         self.targets[self.step, self.lane] = codes
         self.inputs = np.vstack([np.full((1, count), end, np.int32), self.targets[:-1]])
@@ -429,6 +431,7 @@ def _trained(batches, shared, values):
         for k in range(0, len(flat), BLOCK):
             yield pa.RecordBatch.from_pydict({
                 "block": [k // BLOCK], "part": [part], "tokens": [tokens], "weights": [flat[k:k + BLOCK].tobytes()]})
+    forget()
 
 
 _BLOCKS = "block long, part long, tokens long, weights binary"
@@ -544,6 +547,7 @@ def _scored(batches, shared, values):
             held, size = [], 0
     if held:
         yield rows()
+    forget()
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT,

@@ -22,6 +22,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A block of a level holds ``2 ** COVER_BITS`` blocks of the level below.
+COVER_BITS = 2
+
 BK = "_bk"
 LOCAL = "_local"
 
@@ -81,19 +84,46 @@ def fold_islands(local: DataFrame, keys: Sequence[str], gap: int | Column, reach
     return with_head(local, keys, LOCAL, "_lend", gap, reach, head).groupBy(*keys, head).agg(*final)
 
 
-def with_next(df: DataFrame, keys: Sequence[str], t: str, width: int, out: str = "next") -> DataFrame:
-    """(keys, t, ``out``) for every distinct ``t`` of a group; ``out`` is the
-    next one (null for the last).  The points of a bucket, at most ``width``
-    numbers, become one sorted array, copies combined map-side."""
-    keys = list(keys)
-    points = (df.groupBy(*keys, bucket_of(t, width).alias(BK))
-              .agg(F.array_sort(F.collect_set(t)).alias("_ts")))
-    first_of_next = F.lead(F.get("_ts", F.lit(0))).over(Window.partitionBy(*keys).orderBy(BK))
-    following = F.concat(F.slice("_ts", F.lit(2), F.size("_ts")), F.array(first_of_next))
-    pairs = F.inline(F.arrays_zip(F.col("_ts").alias(t), F.col("_next").alias(out)))
-    return points.withColumn("_next", following).select(*keys, pairs)
-
-
 def bucket_span(b: str, e: str, width: int) -> Column:
     """The buckets an interval [b, e] touches, as an array (for range joins)."""
     return F.sequence(bucket_of(b, width), bucket_of(e, width))
+
+
+def _shift(name: str, x: Column, bits: Column) -> Column:
+    return F.call_function(name, x, bits)
+
+
+def block_cover(b: str, e: str, width: int) -> Column:
+    """The buckets an interval [b, e] touches as few aligned blocks: an array
+    of (level, block), where a block holds ``2 ** COVER_BITS`` blocks of the
+    level below.  Every bucket lies in exactly one of them.  At most
+    ``2 * (2 ** COVER_BITS - 1)`` blocks a level, whatever the length."""
+    lo, hi = bucket_of(b, width), bucket_of(e, width)
+
+    def full(level: Column) -> tuple[Column, Column]:
+        """First and last block of a level that lies inside lo..hi."""
+        bits = level * COVER_BITS
+        size = _shift("shiftleft", F.lit(1).cast("bigint"), bits)
+        return _shift("shiftright", lo + size - 1, bits), _shift("shiftright", hi + 1, bits) - 1
+
+    def run(first: Column, last: Column) -> Column:
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+    def of_level(level: Column) -> Column:
+        (first, last), (above, top) = full(level), full(level + 1)
+        outside = F.concat(run(first, F.shiftleft(above, COVER_BITS) - 1), run(F.shiftleft(top + 1, COVER_BITS), last))
+        return F.transform(F.when(above <= top, outside).otherwise(run(first, last)),
+                           lambda k: F.struct(level.alias("level"), k.alias("block")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), highest_level(b, e, width)), of_level))
+
+
+def highest_level(b: str, e: str, width: int) -> Column:
+    """The highest level at which ``block_cover`` of [b, e] can have a block."""
+    buckets = bucket_of(e, width) - bucket_of(b, width) + 1
+    return F.floor((F.length(F.bin(buckets)) - 1) / COVER_BITS).cast("int")
+
+
+def block_of(t: str, width: int, level: str) -> Column:
+    """The block of a level that holds the bucket of ``t``."""
+    return _shift("shiftright", bucket_of(t, width), F.col(level) * COVER_BITS)

@@ -1,9 +1,12 @@
 """Scene clips.
 
-The containment join is an equi-join on (video, media-time bucket) with the
-strict containment as a residual: a scene is repeated once per bucket it
-touches, a detection goes to the bucket of its begin.  A video with many
-scenes is then never compared scene by scene with all of its detections.
+The containment join is an equi-join on (video, block of media time) with
+the strict containment as a residual: a scene is cut into few aligned blocks,
+some 6 a level and levels of 1, 4, 16, ... minutes, a detection probes the
+block of its begin at each level up to the highest of any scene.  A pair meets at one
+block only.  A video with many scenes is then never compared scene by scene
+with all of its detections, and neither a scene of a year nor one with a
+corrupt end becomes more than some 100 rows.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framecut.operators.ordered import bucket_of, bucket_span
+from framecut.operators.ordered import block_cover, block_of, highest_level
 from framecut.params import BUCKET_MS, TOP_K
 
 B, E, ID = "ad_seat_b_time", "ad_seat_e_time", "detection_id"
@@ -24,10 +27,13 @@ def contained_in_scenes(det: DataFrame, scenes: DataFrame, bucket_ms: int = BUCK
     story_end`` (strict), on the same video."""
     sc = scenes.select(F.col("media_id").alias("video_id"), "story_start", "story_end")
     sc = sc.where(F.col("story_end") > F.col("story_start"))
-    sc = sc.withColumn("_bk", F.explode(bucket_span("story_start", "story_end", bucket_ms)))
-    d = det.withColumn("_bk", bucket_of(B, bucket_ms))
-    j = d.join(sc, ["video_id", "_bk"])
-    return j.where((F.col(B) > F.col("story_start")) & (F.col(E) < F.col("story_end"))).drop("_bk")
+    blocks = sc.select("*", F.inline(block_cover("story_start", "story_end", bucket_ms)))
+    # the highest level of any scene: a subquery of the plan, not a job of its own
+    top = sc.agg(F.max(highest_level("story_start", "story_end", bucket_ms))).scalar()
+    levels = F.explode(F.sequence(F.lit(0), F.coalesce(top, F.lit(0))))
+    probes = det.select("*", levels.alias("level")).withColumn("block", block_of(B, bucket_ms, "level"))
+    j = probes.join(blocks, ["video_id", "level", "block"])
+    return j.where((F.col(B) > F.col("story_start")) & (F.col(E) < F.col("story_end"))).drop("level", "block")
 
 
 def screen_time(pairs: DataFrame) -> DataFrame:

@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+#: Ends the round id of a compaction, a version of all keys.
+WHOLE = "all"
+
 
 def _existing_ids(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     try:
@@ -71,14 +74,14 @@ def next_round(spark: SparkSession, path: str) -> str:
 def write_version(rows: DataFrame, path: str, this: str) -> int:
     """Append rows under the round id ``this``; nobody sees them yet.  Returns their number."""
     obs = Observation("written")
-    (rows.withColumn("round", F.lit(this)).observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").parquet(f"{path}/documents"))
+    (rows.observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").parquet(f"{path}/documents/round={this}"))
     return int(obs.get.get("rows", 0))
 
 
 def publish(keys: DataFrame, path: str, this: str) -> None:
     """Make round ``this`` the current version of ``keys`` (one row each)."""
-    keys.withColumn("round", F.lit(this)).write.mode("append").parquet(f"{path}/rounds")
+    keys.write.mode("append").parquet(f"{path}/rounds/round={this}")
 
 
 def replace_keys(docs: DataFrame, keys: DataFrame, path: str) -> int:
@@ -117,6 +120,69 @@ def current_documents(spark: SparkSession, path: str) -> DataFrame:
     return docs
 
 
+def compact(spark: SparkSession, path: str) -> int:
+    """Write the current rows of all keys as one new version; returns their number.
+
+    Every key has the same rows in its old and its new version, so a reader
+    sees the same before, during and after, also when the run fails half-way.
+    Rounds of keys without a row are kept as well.  ``vacuum`` then removes
+    what no key needs any more.  One writer at a time for a path."""
+    rows = current(spark, path)
+    if rows is None:
+        return 0
+    keys = spark.read.parquet(f"{path}/rounds").drop("round").distinct()
+    this = f"{next_round(spark, path)}-{WHOLE}"
+    written = write_version(rows, path, this)
+    publish(keys, path, this)
+    return written
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Remove the files of all rounds before the last ``keep`` compactions;
+    returns how many folders went.
+
+    Readers that opened ``path`` after the oldest compaction that is kept read
+    no file that goes.  Only a compaction whose publication is complete counts;
+    left-overs of failed rounds before it go too.  With fewer compactions
+    nothing is removed, and a repeated call goes on where a failed one stopped."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    names = sorted(_folders(spark, f"{path}/rounds"))
+    whole = [n for n in names if n.endswith(f"-{WHOLE}") and _exists(spark, f"{path}/rounds/{n}/_SUCCESS")]
+    if len(whole) < keep:
+        return 0
+    oldest, removed = whole[-keep], 0
+    for part in ("rounds", "documents"):  # a round without documents must not stay visible
+        for name in _folders(spark, f"{path}/{part}"):
+            if name < oldest:
+                remove(spark, f"{path}/{part}/{name}")
+                removed += 1
+    return removed
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the round folders in ``path``."""
+    fs, place = _file_system(spark, path)
+    found = [f.getPath().getName() for f in fs.listStatus(place)] if fs.exists(place) else []
+    return [n for n in found if n.startswith("round=")]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
 def write_json(docs: DataFrame, path: str, mode: str = "append") -> None:
     """K1 for a plain JSON-lines target."""
     docs.write.mode(mode).json(path)

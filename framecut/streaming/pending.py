@@ -8,7 +8,8 @@ A round
    folder that driver and executors share),
 3. computes their documents with ``job`` and makes them the current version of
    those videos (``sinks.replace_videos``), and only then
-4. hands exactly these ids to ``mark``, also the videos without a clip.
+4. hands exactly these ids to ``mark``, also the videos without a clip
+   (``mark`` uses them before it returns; the folder of ids is then deleted).
 
 A task that becomes pending during the round stays pending.  A round that
 fails before 4 leaves its videos pending, and the next one replaces whatever
@@ -27,6 +28,7 @@ and the stream's checkpoint records which task files were handled.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from framecut import schemas
 from framecut.params import Params
 from framecut.plans.jobs import clips_all, clips_detections
-from framecut.sources.sinks import current_documents, replace_videos
+from framecut.sources.sinks import current_documents, remove, replace_videos
 from framecut.sources.tables import Inputs, pending_tasks
 from framecut.streaming.scenes import current_scenes, update_scenes
 
@@ -60,24 +62,29 @@ def new_task_version(open_tasks: Callable[[], DataFrame], out: str) -> Mark:
     return mark
 
 
-def _fixed(pending: DataFrame, work_dir: str) -> DataFrame:
-    """The ids of a round, written once, so that every later use reads the same."""
+@contextmanager
+def _fixed(pending: DataFrame, work_dir: str):
+    """The ids of a round, written once, so that every later use reads the
+    same; the folder goes when the round has ended, also by a failure."""
     path = f"{work_dir}/pending-{uuid.uuid4().hex}"
-    pending.select("video_id").distinct().write.parquet(path)
-    return pending.sparkSession.read.parquet(path)
+    try:
+        pending.select("video_id").distinct().write.parquet(path)
+        yield pending.sparkSession.read.parquet(path)
+    finally:
+        remove(pending.sparkSession, path)
 
 
 def _round(pending: DataFrame, inp: Inputs, docs_path: str, mark: Mark, work_dir: str,
            job: Callable[..., DataFrame] | None, p: Params, scene_store: str | None) -> int:
-    ids = _fixed(pending, work_dir)
-    if ids.isEmpty():
-        return 0
-    job = job or (clips_all if scene_store is None else clips_detections)
-    written = replace_videos(job(inp, p, video_ids=ids), ids, docs_path)
-    if scene_store is not None:
-        written += update_scenes(inp, ids, scene_store, p)
-    mark(ids)
-    return written
+    with _fixed(pending, work_dir) as ids:
+        if ids.isEmpty():
+            return 0
+        job = job or (clips_all if scene_store is None else clips_detections)
+        written = replace_videos(job(inp, p, video_ids=ids), ids, docs_path)
+        if scene_store is not None:
+            written += update_scenes(inp, ids, scene_store, p)
+        mark(ids)
+        return written
 
 
 def run_round(open_inputs: Callable[[], Inputs], docs_path: str, mark: Mark, work_dir: str,

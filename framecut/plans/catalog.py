@@ -26,6 +26,7 @@ from framecut.plans import jobs
 from framecut.sources import fixtures
 from framecut.sources.tables import pending_tasks
 from framecut.session import ensure_checkpoint_dir
+from framecut.streaming.clusters import END_MS, keyed_state, stream_clusters
 from framecut.streaming.islands import add_detections, merged_intervals
 from framecut.streaming.pending import mark_processed
 from framecut.streaming.scenes import current_scenes, update_scenes
@@ -295,6 +296,24 @@ def merge_rounds(spark, sf):
     return _known(merged_intervals(spark, store, gap), spark, sf)
 
 
+def sessions_last_stream(spark, sf):
+    """I6 on a stream: the merged intervals arrive as one file stream, then a
+    late one of another video moves the watermark past all of them."""
+    root = f"{ensure_checkpoint_dir(spark)}/sessions-stream-{uuid.uuid4().hex}"
+    near = _near(spark, sf, "last")
+    last = spark.range(1).select(*(F.lit({"video_id": "end of stream", "ad_seat_b_time": END_MS, "ad_seat_e_time": END_MS,
+                                          "detection_id": 0}.get(f.name)).cast(f.dataType).alias(f.name)
+                                   for f in near.schema.fields))
+    for arrived in (near, last):
+        arrived.write.mode("append").parquet(f"{root}/in")
+        found = stream_clusters(spark.readStream.schema(near.schema).parquet(f"{root}/in"), Params().gap_ms)
+        with keyed_state(spark):
+            run = (found.writeStream.format("parquet").option("path", f"{root}/out")
+                   .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start())
+        run.awaitTermination()
+    return _known(spark.read.parquet(f"{root}/out"), spark, sf)
+
+
 def _twice(videos):
     """Every video also under another name and area."""
     return videos.unionByName(videos.withColumn("videoName", F.concat("videoName", F.lit(" again")))
@@ -367,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "clips_all": clips_all,
     "clips_scene_rounds": clips_scene_rounds,
     "merge_rounds": merge_rounds,
+    "sessions_last_stream": sessions_last_stream,
     "clips_duplicate_videos": clips_duplicate_videos,
     "duplicate_videos": duplicate_videos,
     "clip_counts": clip_counts,

@@ -403,6 +403,7 @@ ORACLE_SQL["clips_all_for_videos"] = (
 #: the same documents, however their videos arrive or repeat
 ORACLE_SQL["clips_scene_rounds"] = ORACLE_SQL["clips_scene_tagged"]
 ORACLE_SQL["merge_rounds"] = ORACLE_SQL["merge_near_last"]
+ORACLE_SQL["sessions_last_stream"] = ORACLE_SQL["sessions_last"]
 ORACLE_SQL["clips_duplicate_videos"] = ORACLE_SQL["clips_single"]
 ORACLE_SQL["duplicate_videos"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS "videoId", CAST(2 AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS n_different

@@ -8,23 +8,32 @@ written and any store that Spark reaches will do):
 * ``part``, ``seq``: order of the shards (partition, place in it);
 * ``n_tokens``; ``doc_ids``, ``doc_tokens``: the documents in it, 64-bit, and
   their numbers of ids;
-* ``blob``: the file.  Magic ``WMX1``, number of ids (64-bit), number of levels
+* ``blob``: the file.  Magic ``WMX2``, number of ids (64-bit), number of levels
   (32-bit), then per level: zeros (64-bit), length of the zstd-compressed
   plane (32-bit; 0: stored as it is), the bits of the plane, most significant
-  bit level first.
+  bit level first, and its rank directory: the set bits before every 4,096th
+  place (64-bit each), then those since that place before every 512th one
+  (16-bit each).  The directory adds about a twentieth to the raw planes.
 
 ``WaveletMatrix`` opens one blob and answers access, rank (count of an id
 before a place) and select (place of its k-th occurrence) from the planes and
-their popcount directories without decoding the ids.
+the stored directories without decoding the ids: a rank counts bits in one
+block of 64 bytes per level, a select searches the directory on its way up.
+``all`` decodes a whole shard, as the registered query does.
+
+Documents are dealt by ranges of (id, first characters, hash of the text), so
+rows that repeat an id or have none are spread over tasks.
 
 Defined results: a null text holds the end id only; null ids come first;
-documents that repeat an id keep one row each, in an order of their texts.
+documents that repeat an id keep one row each, in the order of their first
+``START_CHARS`` characters, then of the hash of their text.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +45,11 @@ from .common import per_partition, shards, table_path, text_of
 from .tokens import END_ID, PORTION, encoder, portions, with_end
 
 SHARD_TOKENS = 4_000_000
-MAGIC = b"WMX1"
+MAGIC = b"WMX2"
+#: Places per count of the rank directory: far ones 64-bit, near ones 16-bit.
+FAR, NEAR = 4096, 512
+#: Characters of a text that order documents with the same id.
+START_CHARS = 64
 #: Planes are compressed only where this saves a sixteenth at least.
 _WORTH = 16
 
@@ -53,6 +66,17 @@ def planes_of(ids: np.ndarray, levels: int) -> list[tuple[int, np.ndarray]]:
     return out
 
 
+def directory_of(bits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The set bits of a plane before every ``FAR`` places, and those since that
+    place before every ``NEAR``; both for places 0 to ``n``."""
+    whole = np.zeros((n // FAR + 1) * FAR // 8, np.uint8)
+    whole[:len(bits)] = bits
+    blocks = np.bitwise_count(whole.view(np.uint64)).reshape(-1, FAR // NEAR, NEAR // 64).sum(axis=2, dtype=np.int64)
+    upto = np.cumsum(blocks, axis=1)
+    far = np.concatenate([[0], np.cumsum(upto[:-1, -1])])
+    return far.astype("<u8"), (upto - blocks).astype("<u2").ravel()[:n // NEAR + 1]
+
+
 def _squeezed(raw: bytes) -> bytes:
     return pa.compress(raw, codec="zstd", asbytes=True)
 
@@ -66,7 +90,8 @@ def write_blob(ids: np.ndarray) -> bytes:
         sample = raw[:65536]
         thin = len(_squeezed(sample)) * (1 + 1 / _WORTH) < len(sample)
         packed = _squeezed(raw) if thin else b""
-        out += [struct.pack("<QI", zeros, len(packed)), packed or raw]
+        far, near = directory_of(bits, len(ids))
+        out += [struct.pack("<QI", zeros, len(packed)), packed or raw, far.tobytes(), near.tobytes()]
     return b"".join(out)
 
 
@@ -78,7 +103,8 @@ class WaveletMatrix:
             raise ValueError("not a wavelet matrix")
         self.n, self.levels = struct.unpack_from("<QI", blob, 4)
         at, size = 16, (self.n + 7) // 8
-        self.zeros, self.planes = [], []
+        fars, nears = self.n // FAR + 1, self.n // NEAR + 1
+        self.zeros, self.planes, self.far, self.near = [], [], [], []
         for _ in range(self.levels):
             zeros, packed = struct.unpack_from("<QI", blob, at)
             at += 12
@@ -86,7 +112,9 @@ class WaveletMatrix:
             at += packed or size
             self.zeros.append(zeros)
             self.planes.append(np.frombuffer(raw, np.uint8))
-        self._ranks: list[np.ndarray] | None = None
+            self.far.append(np.frombuffer(blob, "<u8", fars, at))
+            self.near.append(np.frombuffer(blob, "<u2", nears, at + 8 * fars))
+            at += 8 * fars + 2 * nears
 
     def all(self) -> np.ndarray:
         """Every id, level by level from the lowest bit up."""
@@ -101,14 +129,23 @@ class WaveletMatrix:
         return rest.astype(np.uint32)
 
     def _ones(self, level: int, at: int) -> int:
-        """Set bits of a level before a place: directory of bytes plus the rest."""
-        if self._ranks is None:
-            self._ranks = [np.concatenate([[0], np.cumsum(np.bitwise_count(p), dtype=np.int64)])
-                           for p in self.planes]
-        ones = int(self._ranks[level][at >> 3])
-        if at & 7:
-            ones += (int(self.planes[level][at >> 3]) & (1 << (at & 7)) - 1).bit_count()
-        return ones
+        """Set bits of a level before a place: the directory and part of one block."""
+        block = at // NEAR
+        part = int.from_bytes(self.planes[level][block * NEAR // 8:(at + 7) // 8].tobytes(), "little")
+        part &= (1 << at - block * NEAR) - 1
+        return int(self.far[level][at // FAR]) + int(self.near[level][block]) + part.bit_count()
+
+    def _place(self, level: int, bit: int, k: int) -> int:
+        """Where the k-th (from 0) bit of that value lies in a level that has it."""
+        far, near = self.far[level], self.near[level]
+
+        def before(block: int) -> int:
+            ones = int(far[block * NEAR // FAR]) + int(near[block])
+            return ones if bit else block * NEAR - ones
+
+        block = bisect_right(range(len(near)), k, key=before) - 1
+        bits = np.unpackbits(self.planes[level][block * NEAR // 8:(block + 1) * NEAR // 8], bitorder="little")
+        return block * NEAR + int(np.flatnonzero(bits == bit)[k - before(block)])
 
     def access(self, at: int) -> int:
         """The id at a place."""
@@ -139,14 +176,15 @@ class WaveletMatrix:
         """Place of the k-th (from 0) occurrence of an id, -1 if there is none."""
         if not 0 <= k < self.rank(value, self.n):
             return -1
-        low, high = 0, self.n
-        while high - low > 1:  # the last place with at most k occurrences before it
-            mid = (low + high) // 2
-            if self.rank(value, mid) <= k:
-                low = mid
-            else:
-                high = mid
-        return low
+        at = 0  # where the id's places begin below the last level
+        for level in range(self.levels):
+            ones = self._ones(level, at)
+            at = self.zeros[level] + ones if value >> self.levels - 1 - level & 1 else at - ones
+        at += k
+        for level in range(self.levels - 1, -1, -1):
+            bit = value >> self.levels - 1 - level & 1
+            at = self._place(level, bit, at - self.zeros[level] if bit else at)
+        return at
 
 
 def _shard_rows(batches, path: str, end: int, shard_tokens: int, at_once: int):
@@ -180,9 +218,11 @@ def write_shards(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
                  end: int = END_ID, shard_tokens: int = SHARD_TOKENS, at_once: int = PORTION) -> None:
     """Encode ``docs`` and write the shards, ascending by id, to ``out``; a shard
     ends when another ``at_once`` bytes of text have filled it."""
+    keys = ["doc_id", "first", "hash"]
     dealt = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-             .repartitionByRange(shards(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text"))
-    dealt.mapInArrow(
+             .withColumn("first", F.left("text", F.lit(START_CHARS))).withColumn("hash", F.xxhash64("text"))
+             .repartitionByRange(shards(docs.sparkSession), *keys).sortWithinPartitions(*keys))
+    dealt.select("doc_id", "text").mapInArrow(
         per_partition(_shard_rows, tokenizer, end, shard_tokens, at_once),
         "part int, seq int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, blob binary",
     ).write.option("compression", "uncompressed").parquet(out)

@@ -403,6 +403,47 @@ def test_wavelet_matrix_access_rank_select():
         assert m.select(3 << 20, 0) == -1
 
 
+def test_wavelet_matrix_reads_the_stored_directory():
+    """Counts at and around every block border, select of every occurrence, sizes that end on borders, and what the
+    directories add to the file."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    for n in (1, 511, 512, 513, 4095, 4096, 4097, 8192, 20_000):
+        ids = (rng.zipf(1.2, n) % 50257).astype(np.uint32)
+        blob = token_binary.write_blob(ids)
+        m = token_binary.WaveletMatrix(blob)
+        for level, (zeros, bits) in enumerate(token_binary.planes_of(ids, m.levels)):
+            flat = np.unpackbits(bits, count=n, bitorder="little")
+            upto = np.concatenate([[0], np.cumsum(flat)])
+            assert zeros == n - upto[-1]
+            for at in {b + d for b in range(0, n + 1, 512) for d in (-1, 0, 1)} | {n}:
+                if 0 <= at <= n:
+                    assert m._ones(level, at) == upto[at]
+        for value in {int(ids[0]), int(ids[-1]), 1, 2}:
+            places = np.flatnonzero(ids == value).tolist()
+            assert [m.select(value, k) for k in range(len(places))] == places
+            assert m.select(value, len(places)) == m.select(value, -1) == -1
+            assert m.rank(value, n) == len(places)
+    planes = m.levels * (n // 8)
+    assert sum(f.nbytes + b.nbytes for f, b in zip(m.far, m.near)) < planes / 16
+    assert len(blob) < planes * 17 / 16 + 1000
+
+
+def test_token_binary_spreads_rows_without_an_id(spark, scratch):
+    """Null and repeated ids fill several partitions; starts stay gapless and the ids come back whole."""
+    path = tokens.public_path(catalog.BYTE_BPE)
+    rows = [(None, f"text number {k}") for k in range(400)] + [(7, f"other {k}") for k in range(300)] + [(9, "x"), (9, None)]
+    token_binary.write_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), scratch + "/s", path)
+    where = spark.read.parquet(scratch + "/s").collect()
+    assert sum(None in r["doc_ids"] for r in where) > 1 and sum(7 in r["doc_ids"] for r in where) > 1
+    out = sorted(token_binary.read_documents(spark, scratch + "/s").collect(), key=lambda r: r["start"])
+    assert [r["start"] for r in out] == [sum(x["n_tokens"] for x in out[:k]) for k in range(len(out))]
+    order = [r["doc_id"] for r in out]
+    assert order == [None] * 400 + [7] * 300 + [9] * 2
+    want = sorted((d or 0, len(ids), brute.crc(ids)) for d, ids in _ids(path, rows))
+    assert sorted((r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in out) == want
+
+
 def test_language_id(spark):
     rows = pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pylist()
     table = [(r["doc_id"], r["text"], r["lang"]) for r in rows] + [(5000, None, "en"), (5001, "123 ...", "en"),

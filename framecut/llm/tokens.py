@@ -50,25 +50,35 @@ class TextEncoder:
         self.spaced = self.tokenizer.normalizer is None
         self.bytes = _byte_alphabet()
         self.memo: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.most = memo
 
-    def _word(self, word: str) -> list[int]:
-        """Ids of letters (with a space before them, if spaced)."""
-        mapped = word.encode().decode("latin-1").translate(self.bytes)
-        return [t.id for t in self.tokenizer.model.tokenize(mapped)]
+    def _word(self, word: str) -> bytes:
+        """Ids of letters (with a space before them, if spaced) as 32-bit integers."""
+        if not self.spaced:
+            word = word.lower()
+        if word.isascii():  # of these only a space has a stand-in
+            mapped = word.replace(" ", self.bytes[32])
+        else:
+            mapped = word.encode().decode("latin-1").translate(self.bytes)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece as 32-bit integers; Latin words and a mark after them go straight to the model."""
-        body = piece[1:] if self.spaced and piece[:1] == " " else piece
-        mark = body[-1:] if body[-1:] in _TAIL else ""
-        if mark:
-            body = body[:-1]
-        if body.isalpha() and max(body) < "ɐ" and "İ" not in body:
-            if self.spaced:
-                ids = self._word(piece[:len(piece) - len(mark)])
-            else:
-                ids = self._word(body.lower())
-            return array("I", ids + self._word(mark) if mark else ids).tobytes()
+        mark = piece[-1:] if piece[-1:] in _TAIL else ""
+        word = piece[:-1] if mark else piece
+        body = word[1:] if self.spaced and word[:1] == " " else word
+        if body.isalpha() and (body.isascii() or max(body) < "ɐ" and "İ" not in body):
+            if not mark:
+                return self._word(word)
+            ids = self.memo.get(word)
+            if ids is None:
+                ids = self._word(word)
+                if len(self.memo) < self.most:
+                    self.memo[word] = ids
+            if mark not in self.marks:
+                self.marks[mark] = self._word(mark)
+            return ids + self.marks[mark]
         return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: A table is broadcast only after a count showed at most this many rows ...
 BROADCAST_ROWS = 200_000
-#: ... whose estimated size in bytes is at most this.
+#: ... whose size in bytes is at most this.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -47,15 +47,18 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df``, with a broadcast hint if a count shows that it is small.
+def small(df: DataFrame, row_bytes: int, held: Column | None = None) -> DataFrame:
+    """``df``, with a broadcast hint if it is shown to be small.
 
-    ``row_bytes`` bounds the size of a row.  At most ``BROADCAST_ROWS + 1``
-    rows are counted; a larger table comes back without a hint, and Spark
-    joins it by a shuffle.
+    A row counts ``row_bytes`` and, for what has no bound of its own (texts,
+    arrays), the bytes that ``held`` gives for it.  At most
+    ``BROADCAST_ROWS + 1`` rows are looked at, and of them only their sizes;
+    a larger table comes back without a hint, and Spark joins it by a shuffle.
     """
-    most = min(BROADCAST_ROWS, BROADCAST_BYTES // row_bytes)
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    size = F.lit(row_bytes).cast("long") + (F.lit(0) if held is None else F.coalesce(held, F.lit(0)))
+    rows, total = df.select(size.alias("size")).limit(BROADCAST_ROWS + 1).agg(
+        F.count("size"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and total <= BROADCAST_BYTES else df
 
 
 def shards(spark: SparkSession) -> int:

@@ -10,7 +10,7 @@
    with the document, which gives the exact windows.
 
 DataFrame operations only.  A broadcast (terms, items) happens only behind a
-count; beyond it Spark shuffles.  Alignments meet their documents by a shuffle.
+measure of its rows and bytes; beyond it Spark shuffles.  Alignments meet their documents by a shuffle.
 
 Defined results: a null text has no words; an item without words is nowhere;
 a null item id counts as the empty string; rows that repeat a ``doc_id`` keep
@@ -43,6 +43,17 @@ def item_words(benchmark: DataFrame, item_col: str = "item_id", text_col: str =
             .select(F.xxhash64("item_id", "w").alias("item"), "item_id", "w", F.size("w").alias("n")))
 
 
+def _small_items(items: DataFrame) -> DataFrame:
+    """The items, broadcast if their words are few enough."""
+    letters = F.aggregate("w", F.lit(0).cast("long"), lambda total, word: total + F.octet_length(word) + 24)
+    return small(items, 64, letters + F.octet_length("item_id"))
+
+
+def _key_bytes() -> Column:
+    """Bytes of the terms of a window's key."""
+    return F.octet_length("t1") + F.coalesce(F.octet_length("t2"), F.lit(0))
+
+
 def _positions(docs: DataFrame) -> DataFrame:
     """(doc_id, h, pos, term) of every word."""
     return docs.select("doc_id", "h", F.posexplode("w").alias("pos", "term"))
@@ -57,9 +68,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def window_keys(items: DataFrame, docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item, j1, t1, j2, t2): the two rarest places of every window (j2 null for one word)."""
     places = items.select("item", "n", F.posexplode("w").alias("j", "term"))
-    vocabulary = small(places.select("term").distinct(), 128)
+    vocabulary = small(places.select("term").distinct(), 64, F.octet_length("term"))
     counts = _positions(docs).join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("freq"))
-    rare = (places.join(small(cut(counts), 128), "term", "left")
+    rare = (places.join(small(cut(counts), 64, F.octet_length("term")), "term", "left")
             .withColumn("freq", F.coalesce("freq", F.lit(0))))
     last = F.greatest(F.col("n") - window, F.lit(0))
     in_window = rare.select(
@@ -76,13 +87,14 @@ def window_keys(items: DataFrame, docs: DataFrame, window: int = WINDOW) -> Data
 
 def postings(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The stored index: (term, doc_id, h, pos) of the key terms."""
-    terms = small(keys.select(F.explode(F.array("t1", "t2")).alias("term")).filter("term is not null").distinct(), 128)
+    terms = small(keys.select(F.explode(F.array("t1", "t2")).alias("term")).filter("term is not null").distinct(),
+                  64, F.octet_length("term"))
     return cut(_positions(docs).join(terms, "term", "left_semi").select("term", "doc_id", "h", "pos"))
 
 
 def alignments(index: DataFrame, keys: DataFrame) -> DataFrame:
     """(doc_id, h, item, shift): places where both rarest words of a window fit."""
-    rarest = index.join(small(keys, 256), index["term"] == keys["t1"]).select(
+    rarest = index.join(small(keys, 128, _key_bytes()), index["term"] == keys["t1"]).select(
         "doc_id", "h", "item", (F.col("pos") - F.col("j1")).alias("shift"),
         (F.col("pos") - F.col("j1") + F.col("j2")).alias("want_pos"), F.col("t2").alias("want"))
     second = index.select(F.col("term").alias("__t"), F.col("doc_id").alias("__d"), F.col("h").alias("__h"),
@@ -101,7 +113,7 @@ def exact_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keyed = _keyed(docs, id_col, text_col)
     keys = cut(window_keys(items, keyed, window))
     fitting = alignments(postings(keyed, keys), keys)
-    known = small(items, 4096)
+    known = _small_items(items)
     per_doc = (fitting.join(known, "item").groupBy("doc_id", "h").agg(
         F.collect_list(F.struct("item_id", "w", "n", "shift")).alias("c"))
         .select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"), "c")).hint("merge")  # grows with the corpus
@@ -146,7 +158,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, within: int = WINDO
     keyed = _keyed(docs, id_col, text_col)
     keys = cut(window_keys(items, keyed, window).filter("t2 is not null"))
     index = postings(keyed, keys)
-    wanted = small(keys, 256)
+    wanted = small(keys, 128, _key_bytes())
     left = index.join(wanted, index["term"] == wanted["t1"]).select(
         "doc_id", "h", "item", "pos", "t2", F.explode(F.array(*(
             F.floor(F.col("pos") / within) + d for d in (-1, 0, 1)))).alias("band")).distinct()
@@ -155,7 +167,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, within: int = WINDO
     close = ((left["t2"] == right["__t"]) & (left["band"] == right["__band"]) & (left["h"] == right["__h"])
              & left["doc_id"].eqNullSafe(right["__d"]) & (F.abs(left["pos"] - right["__p"]) < within)
              & (left["pos"] != right["__p"]))
-    return left.join(right, close, "left_semi").join(small(items, 4096), "item").select(
+    return left.join(right, close, "left_semi").join(_small_items(items), "item").select(
         "doc_id", "item_id", F.col("pos").alias("at")).distinct()
 
 

@@ -370,6 +370,22 @@ def test_token_counts(docs, pairs):
     assert cut["at_7"] == sum(min(s, 7) for s in sizes) and cut["at_512"] == sum(min(s, 512) for s in sizes)
 
 
+def test_a_broadcast_is_decided_by_measured_bytes(spark):
+    """50 rows of a megabyte are no small table, whatever their number; 50 short ones and none are."""
+    from pyspark.sql import functions as F
+
+    from framecut.llm.common import small
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    size = F.octet_length("item_id")
+    wide = spark.range(50).select(F.repeat(F.lit("x"), 1 << 20).alias("item_id"))
+    short = spark.range(50).select(F.lit("x").alias("item_id"))
+    assert not hinted(small(wide, 64, size))
+    assert hinted(small(short, 64, size)) and hinted(small(short.limit(0), 64, size)) and hinted(small(short, 64))
+    items = decontaminate.item_words(spark.range(50).select(
+        F.col("id").cast("string").alias("item_id"), F.repeat(F.concat(F.lit("word"), F.col("id"), F.lit(" ")), 200_000).alias("text")))
+    assert not hinted(decontaminate._small_items(items))
+
+
 def test_token_binary(spark, docs, pairs, scratch):
     path = tokens.public_path(catalog.BYTE_BPE)
     out_dir = scratch + "/shards"

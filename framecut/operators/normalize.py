@@ -17,6 +17,10 @@ from framecut import params as P
 from framecut import schemas
 from framecut.sources.tables import detection_scan, pending_tasks, playable_videos
 
+B = "ad_seat_b_time"
+#: Parts in which a video's detections are dealt when they meet a long list of ids.
+VIDEO_SLOTS = 8
+
 
 def unify_sources(tables: Mapping[str, DataFrame] | DataFrame) -> DataFrame:
     """S2 + U1: the detection tables as one DataFrame with a ``source`` column,
@@ -204,10 +208,22 @@ def for_videos(det: DataFrame, video_ids: DataFrame | list[str]) -> DataFrame:
 
     A list of ids becomes a filter that reaches the scan.  A DataFrame of
     ``video_id`` is broadcast after a row count check, so detections are
-    filtered where they are read; a longer one is joined by a shuffle."""
+    filtered where they are read; a longer one is joined by a shuffle.
+
+    That shuffle deals the detections by video and media time, and the ids to
+    each of the slots.  Dealt by video alone, a hot video would be one task's,
+    and every later step that groups by video and more would be planned into
+    the same task, with the sorts of all of them, and once per kind of clip."""
     if not isinstance(video_ids, DataFrame):
         return det.where(F.col("video_id").isin(list(video_ids)))
-    return det.join(broadcast_checked(video_ids.select("video_id").distinct()), "video_id", "left_semi")
+    ids = video_ids.select("video_id").distinct()
+    checked = broadcast_checked(ids)
+    if checked is not ids or B not in det.columns:
+        return det.join(checked, "video_id", "left_semi")
+    slot = F.coalesce(F.pmod(F.floor(F.col(B) / P.BUCKET_MS), F.lit(VIDEO_SLOTS)), F.lit(0)).cast("int")
+    slots = F.explode(F.sequence(F.lit(0), F.lit(VIDEO_SLOTS - 1))).alias("_slot")
+    return (det.withColumn("_slot", slot).join(ids.select("video_id", slots), ["video_id", "_slot"], "left_semi")
+            .drop("_slot"))
 
 
 def exclude_suffix(det: DataFrame, videos: DataFrame, suffix: str = ".ts") -> DataFrame:

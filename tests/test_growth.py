@@ -3,7 +3,10 @@
 import json
 
 import pandas as pd
+from pyspark.sql import functions as F
 
+from framecut import params as P
+from framecut.operators.normalize import for_videos
 from framecut.streaming.clusters import LastReach
 
 GAP = 10_000
@@ -90,3 +93,24 @@ def test_a_timer_calls_the_state_as_often_for_many_clusters_as_for_few():
     few, many = _calls(3), _calls(200)
     assert few[1] == 2 and many[1] == 199  # the last one may still grow
     assert many[0] == few[0] <= 8
+
+
+def test_a_long_list_of_ids_does_not_deal_detections_by_video_alone(spark):
+    det = spark.range(4_000).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("no"), "id")).otherwise("7").alias("video_id"),
+        F.when(F.col("id") % 7 > 0, F.col("id") * 1_000).alias("ad_seat_b_time"), F.col("id").alias("detection_id"))
+    ids = spark.range(P.MAX_BROADCAST_ROWS + 1).select(F.col("id").cast("string").alias("video_id"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        kept = for_videos(det, ids)
+        assert kept.columns == det.columns
+        tasks = kept.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 3_600  # one hot video, null begins included
+        found = sorted(map(tuple, kept.collect()), key=lambda r: r[2])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == sorted(map(tuple, for_videos(det, ["7"]).collect()), key=lambda r: r[2])

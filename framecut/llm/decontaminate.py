@@ -25,14 +25,20 @@ from pyspark.sql import functions as F
 from .common import cut, fresh, small, text_of
 
 WINDOW = 10
-#: Characters between words; letters A-Z are lower-cased after the cut.
-BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Characters between words: all but letters, digits and what lies beyond ASCII, the commonest first.
+BETWEEN = r"[^a-z0-9A-Z\x{80}-\x{10FFFF}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
     """The words of a text: digits, letters a-z and everything beyond ASCII."""
-    return F.array_remove(F.split(F.translate(text, UPPER, LOWER), BETWEEN), "")
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return _cut_words(F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER)))
+
+
+def _cut_words(text: Column) -> Column:
+    """The words of a text in its own letters."""
+    return F.array_remove(F.split(text, BETWEEN), "")
 
 
 def item_words(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -54,9 +60,20 @@ def _key_bytes() -> Column:
     return F.octet_length("t1") + F.coalesce(F.octet_length("t2"), F.lit(0))
 
 
-def _positions(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, pos, term) of every word."""
-    return docs.select("doc_id", "h", F.posexplode("w").alias("pos", "term"))
+def _code() -> Column:
+    return F.xxhash64("term").alias("code")
+
+
+def _words_among(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, h, pos, term, code) of the words whose hash is that of one of ``terms``.
+
+    A number is looked up faster than a text, for every word of the corpus.  A
+    word that shares its hash with a term comes along: it adds to a frequency,
+    which only orders the places, or is a posting that fits no key, as the
+    joins of keys and postings compare the words."""
+    codes = small(terms.select(_code()).distinct(), 64)
+    return (docs.select("doc_id", "h", F.posexplode("w").alias("pos", "term")).withColumn("code", _code())
+            .join(codes, "code", "left_semi"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -68,9 +85,8 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def window_keys(items: DataFrame, docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item, j1, t1, j2, t2): the two rarest places of every window (j2 null for one word)."""
     places = items.select("item", "n", F.posexplode("w").alias("j", "term"))
-    vocabulary = small(places.select("term").distinct(), 64, F.octet_length("term"))
-    counts = _positions(docs).join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("freq"))
-    rare = (places.join(small(cut(counts), 64, F.octet_length("term")), "term", "left")
+    counts = _words_among(docs, places).groupBy("code").agg(F.count("*").alias("freq"))
+    rare = (places.withColumn("code", _code()).join(small(cut(counts), 64), "code", "left")
             .withColumn("freq", F.coalesce("freq", F.lit(0))))
     last = F.greatest(F.col("n") - window, F.lit(0))
     in_window = rare.select(
@@ -87,9 +103,8 @@ def window_keys(items: DataFrame, docs: DataFrame, window: int = WINDOW) -> Data
 
 def postings(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The stored index: (term, doc_id, h, pos) of the key terms."""
-    terms = small(keys.select(F.explode(F.array("t1", "t2")).alias("term")).filter("term is not null").distinct(),
-                  64, F.octet_length("term"))
-    return cut(_positions(docs).join(terms, "term", "left_semi").select("term", "doc_id", "h", "pos"))
+    terms = keys.select(F.explode(F.array("t1", "t2")).alias("term")).filter("term is not null")
+    return cut(_words_among(docs, terms).select("term", "doc_id", "h", "pos"))
 
 
 def alignments(index: DataFrame, keys: DataFrame) -> DataFrame:
@@ -144,7 +159,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             "found", lambda m: F.sequence(m["at"], m["at"] + m["n"] - 1))))).alias("hit"),
         F.array_sort(F.array_distinct(F.transform("found", lambda m: m["item_id"]))).alias("item_ids"))
     once = matches.dropDuplicates(["__d", "__h"])
-    every = _keyed(docs, id_col, text_col).select("doc_id", "h", F.size("w").cast("long").alias("n_words"))
+    text = text_of(text_col)  # as many words whatever their letters
+    every = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"),
+                        F.size(_cut_words(text)).cast("long").alias("n_words"))
     return every.join(once, every["doc_id"].eqNullSafe(once["__d"]) & (every["h"] == once["__h"]), "left").select(
         F.col("doc_id"), "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("items"), "found")
